@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skeinwork.llm import neighbours, packing, pieces, topk
+from skeinwork.llm import licenses, neighbours, packing, pieces, topk, toxicity
 from skeinwork.llm.common import read
 
 
@@ -24,6 +24,10 @@ def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read(spark, sf_dir, "embeddings"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
@@ -32,9 +36,15 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.largest_products(read(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op5_nearest_neighbours, op7_sentencepiece, op8_exact_top_k)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op5_nearest_neighbours, op6_license_scan, op7_sentencepiece, op8_exact_top_k, op10_toxicity)}
 
 ORACLE: dict[str, str] = {
+    "op6_license_scan": licenses.oracle_sql(),
     "op8_exact_top_k": """
         with v as (
           select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) e from embeddings
