@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skeinwork.llm import licenses, neighbours, packing, pieces, topk, toxicity
+from skeinwork.llm import licenses, lines, neighbours, packing, pieces, secrets, topk, toxicity
 from skeinwork.llm.common import read
 
 
@@ -20,6 +21,15 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read(spark, sf_dir, "documents"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("n_lines").cast("long"), F.col("removed_lines").cast("long"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read(spark, sf_dir, "embeddings"))
 
@@ -41,9 +51,29 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op5_nearest_neighbours, op6_license_scan, op7_sentencepiece, op8_exact_top_k, op10_toxicity)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_secret_scan, op4_line_dedup, op5_nearest_neighbours, op6_license_scan, op7_sentencepiece, op8_exact_top_k, op10_toxicity)}
 
 ORACLE: dict[str, str] = {
+    "op4_line_dedup": f"""
+        with l as (
+          select doc_id, unnest(string_split(text, chr(10))) line, generate_subscripts(string_split(text, chr(10)), 1) - 1 i
+          from documents where text is not null and doc_id is not null
+        ), h as (select *, ('0x' || substr(md5(line), 1, 8))::bigint h from l),
+        b as (
+          select *, coalesce((lag(h) over w * 1000003 + h) % {lines._MODULUS} % {lines.MEAN_LINES} = 0, false) ends
+          from h window w as (partition by doc_id order by i)
+        ), c as (
+          select *, coalesce(sum(ends::int) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) chunk from b
+        ), k as (
+          select doc_id, chunk, min(i) first, count(*) n, string_agg(line, chr(10) order by i) t from c group by all having count(*) > 1
+        ), r as (select *, row_number() over (partition by t order by doc_id, first) k from k),
+        kept as (
+          select doc_id, count(*) n_lines, count(*) filter (coalesce(k, 1) > 1) removed_lines,
+            string_agg(line, chr(10) order by i) filter (coalesce(k, 1) = 1) text
+          from c left join r using (doc_id, chunk) group by doc_id
+        ) select d.doc_id, coalesce(n_lines, 0)::bigint n_lines, coalesce(removed_lines, 0)::bigint removed_lines,
+          case when d.text is not null then sha256(coalesce(kept.text, '')) end kept_sha256
+        from documents d left join kept using (doc_id)""",
     "op6_license_scan": licenses.oracle_sql(),
     "op8_exact_top_k": """
         with v as (
