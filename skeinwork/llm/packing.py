@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -40,6 +41,8 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 WORDS_KEPT = 400_000
 #: Control characters that str.split() takes for white space and the tokenizer does not (and one that depends on its Unicode version).
 _NOT_SPACE = re.compile("[\x1c-\x1f᠎]")
+#: Marks of which a run after letters is a token sequence of its own; an apostrophe may be part of another.
+_MARKS = string.punctuation.replace("'", "")
 
 
 class CapacityTree:
@@ -154,8 +157,8 @@ class WordIds:
 
     The tokenizer turns every run of white space into one space, drops it when it splits a text, and has no rule that
     looks across it.  So a text's ids are those of its words, and a word is encoded once.  Of the new words, those that
-    are letters of Latin-1 with at most a stop or comma after them are looked up without case and that mark; such a run
-    of letters is one token sequence that ends in the only id with a word end, so that many are encoded as one text.
+    are letters of Latin-1 with at most marks after them are looked up without case and marks; such a run of letters is one
+    token sequence that ends in the only id with a word end, so that many are encoded as one text.
     """
 
     def __init__(self, path: str) -> None:
@@ -169,7 +172,7 @@ class WordIds:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
-        self.marks = {m: self.encode([m])[0] for m in ".,"}
+        self.marks: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -184,19 +187,25 @@ class WordIds:
             begin = end
 
     def learn(self, words: set[str]) -> None:
-        marks, others, plain = self.marks, [], {}
+        marks, others, plain = self.marks, [], []
         for word in words:
-            run = word[:-1] if word[-1] in marks else word
+            run = word.rstrip(_MARKS)
             if run.isalpha() and (run.isascii() or max(run) <= "\xff"):
-                plain[word] = run.lower()
+                mark = word[len(run) :]
+                if mark not in marks:
+                    if len(marks) > WORDS_KEPT:
+                        self.marks = marks = {"": b""}
+                    marks[mark] = self.encode([mark])[0]
+                plain.append((word, run.lower(), marks[mark]))
             else:
                 others.append(word)
         if len(self.runs) > WORDS_KEPT:
             self.runs.clear()
-        if new := list({r for r in plain.values() if r not in self.runs}):
+        if new := list({run for _, run, _ in plain}.difference(self.runs)):
             self.learn_runs(new)
-        for word, run in plain.items():
-            self.known[word] = self.runs[run] + marks[word[-1]] if word[-1] in marks else self.runs[run]
+        runs, known = self.runs, self.known
+        for word, run, mark in plain:
+            known[word] = runs[run] + mark
         if others:
             self.known.update(zip(others, self.encode(others), strict=True))
 
@@ -208,9 +217,10 @@ class WordIds:
             if len(self.known) > WORDS_KEPT:
                 self.known, self.older = {}, self.known
             known = self.known
-            new = {w for words in split if words for w in words if w not in known}
-            known.update((w, self.older[w]) for w in new & self.older.keys())
-            new = {w for w in new if w not in known}
+            new = set().union(*filter(None, split)).difference(known)
+            if self.older:
+                known.update((w, self.older[w]) for w in new.intersection(self.older))
+                new = new.difference(known)
             if new:
                 self.learn(new)
             for text, words in zip(part, split, strict=True):

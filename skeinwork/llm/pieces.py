@@ -164,9 +164,11 @@ def encode_documents(docs: DataFrame, model_path: str, with_ids: bool = False) -
                 if len(v.known) > WORDS_KEPT:
                     v.known, v.older = {}, v.known
                 known = v.known
-                new = {w for words in texts for w in words if w not in known}
-                known.update((w, v.older[w]) for w in new & v.older.keys())
-                if new := {w for w in new if w not in known}:
+                new = set().union(*texts).difference(known)
+                if v.older:
+                    known.update((w, v.older[w]) for w in new.intersection(v.older))
+                    new = new.difference(known)
+                if new:
                     v.learn(new)
                 rows = []
                 for doc, words in zip(batch.column(0).to_pylist(), texts, strict=True):
