@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinwork.llm import licenses, lines, neighbours, packing, pieces, secrets, topk, toxicity
+from skeinwork.llm import jaccard, licenses, lines, neighbours, packing, pieces, secrets, topk, toxicity
 from skeinwork.llm.common import read
 
 
@@ -25,6 +25,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(read(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(read(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.dedup(read(spark, sf_dir, "documents"))
     return found.select("doc_id", F.col("n_lines").cast("long"), F.col("removed_lines").cast("long"), F.sha2("text", 256).alias("kept_sha256"))
@@ -51,7 +55,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_secret_scan, op4_line_dedup, op5_nearest_neighbours, op6_license_scan, op7_sentencepiece, op8_exact_top_k, op10_toxicity)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_secret_scan, op3_ngram_jaccard, op4_line_dedup, op5_nearest_neighbours, op6_license_scan, op7_sentencepiece, op8_exact_top_k, op10_toxicity)}
 
 ORACLE: dict[str, str] = {
     "op4_line_dedup": f"""
