@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinwork.llm import jaccard, licenses, lines, neighbours, packing, pieces, secrets, topk, toxicity
+from skeinwork.llm import jaccard, licenses, lines, neighbours, packing, pieces, repeats, secrets, topk, toxicity
 from skeinwork.llm.common import read
 
 
@@ -50,12 +50,16 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.largest_products(read(spark, sf_dir, "embeddings"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removed(read(spark, sf_dir, "documents")).drop("spans")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_secret_scan, op3_ngram_jaccard, op4_line_dedup, op5_nearest_neighbours, op6_license_scan, op7_sentencepiece, op8_exact_top_k, op10_toxicity)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_best_fit_packing, op2_secret_scan, op3_ngram_jaccard, op4_line_dedup, op5_nearest_neighbours, op6_license_scan, op7_sentencepiece, op8_exact_top_k, op9_suffix_array_dedup, op10_toxicity)}
 
 ORACLE: dict[str, str] = {
     "op4_line_dedup": f"""
