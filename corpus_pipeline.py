@@ -8,7 +8,6 @@ columns of documents; run() writes the result of each as Parquet in the shared f
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from skeinwork.llm import jaccard, lines, packing, secrets, toxicity
 from skeinwork.llm.common import Scratch, read
@@ -22,9 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated chunks of lines go from the texts; n_chars follows."""
-    out = lines.dedup(docs)
-    n = F.when(F.col("removed_lines") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return out.withColumn("n_chars", n).select(*docs.columns)
+    return lines.dedup(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,22 +65,35 @@ def repeated_chunks(docs: DataFrame, mean_lines: int = MEAN_LINES, scratch: Scra
     return lost.distinct().groupBy("doc_id").agg(F.array_sort(F.collect_list("run")).alias("runs"))
 
 
-def dedup(docs: DataFrame, mean_lines: int = MEAN_LINES) -> DataFrame:
-    """The documents without their repeated chunks, with n_lines, removed_lines and removed_runs added."""
-    runs = repeated_chunks(docs, mean_lines)
-    out = docs.join(runs.withColumnRenamed("runs", "removed_runs"), "doc_id", "left")
-    lines = F.split("text", "\n", -1)
+def _cut(docs: DataFrame, mean_lines: int) -> DataFrame:
+    """The documents with the runs that they lose in __runs and the text that stays in __kept."""
+    runs = repeated_chunks(docs.select("doc_id", "text"), mean_lines)
+    out = docs.join(runs.select(F.col("doc_id"), F.col("runs").alias("__runs")), "doc_id", "left")
     # the lines between the runs, slice by slice
     state = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<string>>").alias("out"))
 
-    def cut(all_lines: Column) -> Column:
+    def cut(lines: Column) -> Column:
         def step(s: Column, run: Column) -> Column:
-            return F.struct((run["first"] + run["n"]).alias("at"), F.array_append(s["out"], F.slice(all_lines, s["at"] + 1, run["first"] - s["at"])).alias("out"))
+            return F.struct((run["first"] + run["n"]).alias("at"), F.array_append(s["out"], F.slice(lines, s["at"] + 1, run["first"] - s["at"])).alias("out"))
+
+        rest = lambda s: F.array_join(F.flatten(F.array_append(s["out"], F.slice(lines, s["at"] + 1, F.size(lines)))), "\n")
+        return F.aggregate(F.col("__runs"), state, step, rest)
 
-        rest = lambda s: F.array_join(F.flatten(F.array_append(s["out"], F.slice(all_lines, s["at"] + 1, F.size(all_lines)))), "\n")
-        return F.aggregate(F.col("removed_runs"), state, step, rest)
+    kept = F.element_at(F.transform(F.array(F.split("text", "\n", -1)), cut), 1)
+    return out.withColumn("__kept", F.when(F.col("__runs").isNull(), F.col("text")).otherwise(kept))
 
-    kept = F.element_at(F.transform(F.array(lines), cut), 1)
-    removed = F.coalesce(F.aggregate("removed_runs", F.lit(0), lambda s, r: s + r["n"]), F.lit(0))
-    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
-    return out.select(*(F.col(c) for c in docs.columns if c != "text"), F.when(F.col("removed_runs").isNull(), F.col("text")).otherwise(kept).alias("text"), n.alias("n_lines"), removed.alias("removed_lines"), "removed_runs")
+
+def dedup(docs: DataFrame, mean_lines: int = MEAN_LINES) -> DataFrame:
+    """The documents, all columns, without their repeated chunks; n_chars follows the text where it is there."""
+    out = _cut(docs, mean_lines)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("__runs").isNull(), F.col("n_chars")).otherwise(F.length("__kept").cast(docs.schema["n_chars"].dataType)))
+    return out.select(*(F.col("__kept").alias("text") if c == "text" else F.col(c) for c in docs.columns))
+
+
+def dedup_report(docs: DataFrame, mean_lines: int = MEAN_LINES) -> DataFrame:
+    """doc_id, n_lines, removed_lines, removed_runs (array<struct<first, n>>) and the text that stays."""
+    out = _cut(docs.select("doc_id", "text"), mean_lines)
+    removed = F.coalesce(F.aggregate("__runs", F.lit(0), lambda s, r: s + r["n"]), F.lit(0))
+    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1)))
+    return out.select("doc_id", n.cast("long").alias("n_lines"), removed.cast("long").alias("removed_lines"), F.col("__runs").alias("removed_runs"), F.col("__kept").alias("text"))

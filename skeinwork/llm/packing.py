@@ -126,12 +126,12 @@ def pack(pieces: DataFrame, scratch: Scratch, capacity: int = CAPACITY, part_row
     spark = pieces.sparkSession
     histogram = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # at most capacity rows
     steps = packing_plan(histogram, capacity)
-    parts = spark.createDataFrame([(n, -(-c // part_rows)) for n, c in histogram.items()], "length long, parts long")
-    salted = pieces.join(F.broadcast(parts), "length").withColumn("part", F.expr("pmod(xxhash64(doc_id, piece, start), parts)"))  # parts: a row for each length
-    before = salted.groupBy("length", "part").count()
-    before = before.select("length", "part", (F.sum("count").over(Window.partitionBy("length").orderBy("part")) - F.col("count")).alias("before"))
-    rank = F.row_number().over(Window.partitionBy("length", "part").orderBy("doc_id", "piece")) - 1
-    ranked = salted.withColumn("rank", rank).join(before, ["length", "part"]).withColumn("rank", F.col("rank") + F.col("before"))
+    parts = spark.createDataFrame([(n, -(-c // part_rows)) for n, c in histogram.items()], "length long, __parts long")
+    salted = pieces.join(F.broadcast(parts), "length").withColumn("__part", F.expr("pmod(xxhash64(doc_id, piece, start), __parts)"))  # parts: a row for each length
+    before = salted.groupBy("length", "__part").count()
+    before = before.select("length", "__part", (F.sum("count").over(Window.partitionBy("length").orderBy("__part")) - F.col("count")).alias("__before"))
+    rank = F.row_number().over(Window.partitionBy("length", "__part").orderBy("doc_id", "piece")) - 1
+    ranked = salted.withColumn("__rank", rank).join(before, ["length", "__part"]).withColumn("__rank", F.col("__rank") + F.col("__before"))
 
     table = np.array([(s.length, s.first, s.per_bin, s.sequence, s.base) for s in steps] or np.zeros((0, 5)), dtype=np.int64)
     names = pieces.columns
@@ -142,14 +142,14 @@ def pack(pieces: DataFrame, scratch: Scratch, capacity: int = CAPACITY, part_row
         order = np.argsort(keys)
         keys, rows = keys[order], table[order]
         for batch in batches:
-            length, rank = (np.asarray(batch.column(n)) for n in ("length", "rank"))
+            length, rank = (np.asarray(batch.column(n)) for n in ("length", "__rank"))
             step = rows[np.searchsorted(keys, length * wide + rank, side="right") - 1] if len(rank) else np.zeros((0, 5), np.int64)
             k = rank - step[:, 1]
             sequence, offset = step[:, 3] + k // np.maximum(step[:, 2], 1), step[:, 4] + k % np.maximum(step[:, 2], 1) * length
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())], names=[*names, "sequence_id", "offset"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
-    return ranked.select(*names, "rank").mapInArrow(place, f"{schema}, sequence_id long, offset long")
+    return ranked.select(*names, "__rank").mapInArrow(place, f"{schema}, sequence_id long, offset long")
 
 
 class WordIds:

@@ -30,8 +30,7 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lines.dedup(read(spark, sf_dir, "documents"))
-    return found.select("doc_id", F.col("n_lines").cast("long"), F.col("removed_lines").cast("long"), F.sha2("text", 256).alias("kept_sha256"))
+    return lines.dedup_report(read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "removed_lines", F.sha2("text", 256).alias("kept_sha256"))
 
 
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -107,10 +107,10 @@ def markov_spans(text: Column, base: Column, table: list[float]) -> Column:
 
 
 def with_spans(docs: DataFrame, table: list[float]) -> DataFrame:
-    """Adds the columns secret_base and secret_spans (all spans, sorted) to documents."""
+    """Adds the columns __base and __spans (all spans, sorted) to documents."""
     text = text_of()
-    out = docs.withColumn("secret_base", base_spans(text))
-    return out.withColumn("secret_spans", F.array_sort(F.concat("secret_base", markov_spans(text, F.col("secret_base"), table))))
+    out = docs.withColumn("__base", base_spans(text))
+    return out.withColumn("__spans", F.array_sort(F.concat("__base", markov_spans(text, F.col("__base"), table))))
 
 
 def listed(spans: Column) -> Column:
@@ -122,8 +122,8 @@ def listed(spans: Column) -> Column:
 def scan(docs: DataFrame, table: list[float] | None = None) -> DataFrame:
     """doc_id, counts of the base kinds, the digest of the base spans and all spans of every document."""
     found = with_spans(docs.select(F.col("doc_id").cast("long"), "text"), table or train(docs))
-    count = lambda k: F.size(F.filter("secret_spans", lambda s: s["kind"] == k)).cast("long")
-    return found.select("doc_id", *(count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)), F.sha2(listed(F.col("secret_base")), 256).alias("base_sha256"), listed(F.col("secret_spans")).alias("spans"))
+    count = lambda k: F.size(F.filter("__spans", lambda s: s["kind"] == k)).cast("long")
+    return found.select("doc_id", *(count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)), F.sha2(listed(F.col("__base")), 256).alias("base_sha256"), listed(F.col("__spans")).alias("spans"))
 
 
 def redact(docs: DataFrame, table: list[float] | None = None, mark: str = "[secret]") -> DataFrame:
@@ -137,7 +137,7 @@ def redact(docs: DataFrame, table: list[float] | None = None, mark: str = "[secr
         return F.struct(F.greatest(s["at"], span["end"]).alias("at"), F.when(fresh, F.array_append(s["out"], own)).otherwise(s["out"]).alias("out"))
 
     rest = lambda s: F.concat(F.array_join(s["out"], ""), F.substring(F.col("text"), s["at"] + 1, F.length("text")))
-    out = found.withColumn("text", F.when(F.size("secret_spans") > 0, F.aggregate("secret_spans", state, step, rest)).otherwise(F.col("text")))
+    out = found.withColumn("text", F.when(F.size("__spans") > 0, F.aggregate("__spans", state, step, rest)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("secret_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.size("__spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)

@@ -98,7 +98,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, fe
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([sorted(text_features(t)) for t in batch.column(2).to_pylist()], pa.list_(pa.string()))], names=["doc_id", "toxic", "found"])
 
-    rows = docs.join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", text_of().alias("text"))  # at most sample_rows rows of two numbers
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", text_of().alias("text"))  # at most sample_rows rows of two numbers
     rows = rows.mapInArrow(extract, "doc_id long, toxic int, found array<string>")
     least = [F.array_min(F.transform("found", lambda f, k=k: F.xxhash64(f, F.lit(k)))) for k in range(2)]  # alike in copies, so that a copied text counts once
     rows = scratch.keep(rows.withColumns({"k0": least[0], "k1": least[1]}).dropDuplicates(["toxic", "k0", "k1"]).drop("k0", "k1"))
