@@ -2,7 +2,8 @@
 
 builtin: a Spark primitive as it is; composed: a composition of columns or DataFrames; udf: Arrow batches of Python;
 extension: provided beyond the inventory's own surface; unsupported: raises a typed error; delegated: the engine's own
-business (plans, retries, transactions, catalogs), with nothing to call.
+business (plans, retries, transactions, catalogs), with nothing to call; absent: no part of the vocabulary, and left to
+Spark's own API.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ _STATUS = {
     "F22 F23 F25 F28 F29 F30 F31 F32 M2 M3 M5 M11 M13 M14 M16 M17 M18 D1 D3 D4 D6 D7 D9 D10 D11 D12 D14 D15 D16 D17 D18 D19 D20 D21 D22 D23 D24 D25 D26 D27 D28 N4 N5 N7 N8 N9 N11 N12 N13 N14 N15 N17 G12 G13 "
     "T1 T2 T3 T4 T5 T6 T7 T8 T9 T10 X1 X2 X3 X4 X5 X7 X8 X9 X10 X12 K4",
     "udf": "N1 N2 N3 N6 N10 N16 A13 G1 G2 G3 G4 G5 G6 G7 G8 G9 G11 G14 G15 G16 G17",
-    "extension": "S13 A16 A17 W4 J4 J19 U8 M19 K2 K3 K7 S18",
+    "extension": "S13 A16 A17 W4 K2",
+    "absent": "J4 J19 U8 M19 K3 K7 S18",
     "unsupported": "P17 G10 G18 T11 K5",
     "delegated": "S17 J18 A18 X11 K6 K8 K10",
 }
