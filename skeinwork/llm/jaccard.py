@@ -4,18 +4,20 @@ A document's set holds the 64-bit hashes of its distinct shingles of k words (AS
 ASCII white space); with fewer than k words the whole sequence is its one shingle.  Two documents link when
 100 * intersection >= percent * union.
 
-Count vectors.  Hashes deal the shingles into groups.  The overlap of two sets is at most the sum over groups of the
-lesser count, and for an R-tree node at most the sum of the lesser of the count and the node's largest; what survives
-this bound is verified on the sets themselves.
+Count vectors.  Hashes deal the shingles into groups, more of them for larger sets.  The overlap of two sets is at most
+the sum over groups of the lesser count, and for an R-tree node at most the sum of the lesser of the count and the
+node's largest; what survives this bound is verified on the sets themselves.
 
 Who meets whom.  Linked sets of a and b shingles differ in at most (a + b) * (100 - percent) / (100 + percent) of them.
-With one group more than that, some group is equal in both as a set.  So each document is dealt out under the digests of
-its groups, with a number of groups that follows from its band of sizes (and that of the band below, where it can link
-down into it), and no linked pair is missed.  A digest stands for some ten shingles, so that a passage that many documents
-share brings them together only if nearly all else is shared too.  Documents under one digest are tied to the least of
-them; the connected sets of these ties hold all linked pairs.  A connected set is joined in one task by an R-tree; one
-with more than ``weight`` shingles is dealt into blocks by size band and hash, and each pair of blocks that can link is a
-task.  Exact copies are one document throughout.
+With one part more than that, some part is equal in both.  So each document is dealt out under the digests of its parts,
+with a number of parts that follows from its band of sizes (and that of the band below, where it can link down into it),
+and no linked pair is missed.  There are some parts more, so that an empty part need not be dealt out, unless a document
+has more empty ones than were added; then it is dealt out under them too.
+
+Documents under one digest, their exact copies left out, are joined by an R-tree over their count vectors; those that the
+bound leaves together are tied.  (Beyond ``most`` documents under one digest all are tied to the least.)  The connected
+sets of the ties hold all linked pairs.  A connected set is verified in one task, by an R-tree again; one with more than
+``weight`` shingles is dealt into blocks by size band and hash, and each pair of blocks that can link is a task.
 
 Defined results: null and empty texts have no shingles and link with nothing; a document's component is the least doc_id
 that links reach, itself included; a doc_id stands for one document, so rows that repeat it repeat its result (and rows
@@ -24,7 +26,9 @@ with null doc_id have a null component); an empty table gives an empty result; o
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +39,7 @@ from pyspark.sql import functions as F
 from skeinwork.llm.common import Scratch, text_of
 from skeinwork.llm.graph import components
 
-GROUPS, LEAF, WEIGHT = 64, 16, 1_500_000
+LEAF, WEIGHT, MOST = 16, 1_500_000, 20_000
 BAND, WORDS_KEPT = 1.5, 400_000
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -80,7 +84,19 @@ def band_starts(top: int = 1 << 40) -> np.ndarray:
 _STARTS = band_starts()
 
 
-def group_digests(shingles: np.ndarray, percent: int) -> np.ndarray:
+@lru_cache(None)
+def parts_of(band: int, percent: int) -> tuple[int, int]:
+    """The number of parts for a band of sizes, and how many of them were added for empty ones."""
+    least, largest = int(_STARTS[band]), int(_STARTS[band + 1]) - 1
+    needed = (largest + largest * 100 // percent) * (100 - percent) // (100 + percent) + 1
+    more = 0
+    for _ in range(20):
+        empty = (needed + more) * math.exp(-least / (needed + more))
+        more = math.ceil(empty + 5 * math.sqrt(empty) + 0.5) if needed > 1 else 0
+    return needed + more, more
+
+
+def part_digests(shingles: np.ndarray, percent: int) -> np.ndarray:
     """The digests under which a set is dealt out."""
     n = len(shingles)
     band = int(np.searchsorted(_STARTS, n, side="right")) - 1
@@ -88,27 +104,37 @@ def group_digests(shingles: np.ndarray, percent: int) -> np.ndarray:
     for k in (band, band - 1):
         if k < 0 or k < band and n * percent > 100 * (int(_STARTS[band]) - 1):
             continue
-        largest = int(_STARTS[k + 1]) - 1
-        groups = (largest + largest * 100 // percent) * (100 - percent) // (100 + percent) + 1
-        at = (mix(shingles * _A) % np.uint64(groups)).astype(np.int64)
-        total = np.zeros(groups, np.uint64)
+        parts, more = parts_of(k, percent)
+        at = (mix(shingles * _A) % np.uint64(parts)).astype(np.int64)
+        total = np.zeros(parts, np.uint64)
         np.add.at(total, at, mix(shingles + _B))
-        out.append(mix(total + np.uint64(k * 1_000_003) + np.arange(groups, dtype=np.uint64) * _A))
+        keys = mix(total + np.uint64(k * 1_000_003) + np.arange(parts, dtype=np.uint64) * _A)
+        full = np.zeros(parts, bool)
+        full[at] = True
+        out.append(keys if parts - full.sum() > more else keys[full])
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
+def count_vector(shingles: np.ndarray) -> np.ndarray:
+    """Counts of the shingles by group; the number of groups is a power of two, so that vectors fold to shorter ones."""
+    bits = min(12, max(4, (len(shingles) // 8).bit_length()))
+    return np.minimum(np.bincount((mix(shingles * _B) & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits), 65535).astype(np.uint16)
+
+
+def folded(vectors: list[np.ndarray]) -> np.ndarray:
+    """Vectors as one matrix with as many groups as the shortest."""
+    width = min(map(len, vectors))
+    return np.stack([v.reshape(-1, width).sum(0, dtype=np.int32) for v in vectors])
+
+
 class CountTree:
     """An R-tree over count vectors: points in the order of size, leaves of LEAF points, and nodes of LEAF leaves."""
 
-    def __init__(self, sets: list[np.ndarray], groups: int = GROUPS) -> None:
-        self.sizes = np.array([len(s) for s in sets])
-        self.points = np.zeros((len(sets), groups), np.int32)
-        at = np.repeat(np.arange(len(sets)), self.sizes)
-        flat = (mix(np.concatenate(sets) * _B) % np.uint64(groups)).astype(np.int64)
-        self.points = np.bincount(at * groups + flat, minlength=len(sets) * groups).reshape(len(sets), groups)
+    def __init__(self, sizes: np.ndarray, vectors: list[np.ndarray]) -> None:
+        self.sizes, self.points = sizes, folded(vectors)
         self.order = np.lexsort((*self.points.T[:2], self.sizes))
         self.points, self.sizes = self.points[self.order], self.sizes[self.order]
-        self.starts = np.arange(0, len(sets), LEAF)
+        self.starts = np.arange(0, len(sizes), LEAF)
         self.most = np.maximum.reduceat(self.points, self.starts)
         self.least_size = self.sizes[self.starts]
         self.upper = np.maximum.reduceat(self.most, np.arange(0, len(self.starts), LEAF))
@@ -132,52 +158,105 @@ class CountTree:
         return near[bound * (100 + percent) >= percent * (self.sizes[i] + self.sizes[near])]
 
 
+class Roots:
+    """Which places are joined, kept flat."""
+
+    def __init__(self, n: int) -> None:
+        self.of = np.arange(n)
+
+    def join(self, i: int, others: np.ndarray) -> None:
+        old = np.unique(np.append(self.of[others], self.of[i]))
+        if len(old) > 1:
+            self.of[np.isin(self.of, old[1:])] = old[0]
+
+    def least(self, ids: np.ndarray) -> np.ndarray:
+        out = np.full(len(ids), np.iinfo(np.int64).max)
+        np.minimum.at(out, self.of, ids)
+        return out[self.of]
+
+
+def tied(ids: np.ndarray, sizes: np.ndarray, vectors: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each document the least id that pairs reach which the bound of their count vectors allows."""
+    tree, roots = CountTree(sizes, vectors), Roots(len(ids))
+    for i in range(len(ids)):
+        near = tree.after(i, percent)
+        roots.join(i, near)
+    out = np.empty(len(ids), np.int64)
+    out[tree.order] = roots.least(ids[tree.order])
+    return out
+
+
 def linked(ids: np.ndarray, sets: list[np.ndarray], percent: int, side: np.ndarray | None = None) -> np.ndarray:
     """For each set the least id that links reach; with side, only sets of different sides are compared."""
-    tree = CountTree(sets)
+    tree = CountTree(np.array([len(s) for s in sets]), [count_vector(s) for s in sets])
     sets, ids = [sets[i] for i in tree.order], ids[tree.order]
     side = None if side is None else side[tree.order]
-    root = np.arange(len(ids))  # of every place, kept flat
+    roots = Roots(len(ids))
     for i in range(len(ids)):
         near = tree.after(i, percent)
         if side is not None:
             near = near[side[near] != side[i]]
         for at in range(0, len(near), 64):
             part = near[at : at + 64]
-            part = part[root[part] != root[i]]
+            part = part[roots.of[part] != roots.of[i]]
             if not len(part):
                 continue
             flat, lengths = np.concatenate([sets[j] for j in part]), tree.sizes[part]
             place = np.minimum(np.searchsorted(sets[i], flat), len(sets[i]) - 1)
             common = np.add.reduceat((sets[i][place] == flat).astype(np.int64), np.concatenate([[0], np.cumsum(lengths)[:-1]]))
-            for j in part[100 * common >= percent * (lengths + len(sets[i]) - common)]:
-                a, b = root[i], root[j]
-                if a != b:
-                    root[root == max(a, b)] = min(a, b)
-    least = np.full(len(ids), np.iinfo(np.int64).max)
-    np.minimum.at(least, root, ids)
+            roots.join(i, part[100 * common >= percent * (lengths + len(sets[i]) - common)])
     out = np.empty(len(ids), np.int64)
-    out[tree.order] = least[root]
+    out[tree.order] = roots.least(ids)
     return out
 
 
-def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key and doc_id to pairs of the first document of a key and each other one."""
-    key = first = None
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by key and doc_id, the distinct ones whose key has several documents."""
+    keys = ids = np.empty(0, np.int64)
+    shown = False  # whether the row that is carried over has been given out
     for batch in batches:
-        keys, ids = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+        keys, ids = np.append(keys, np.asarray(batch.column(0))), np.append(ids, np.asarray(batch.column(1)))
         if not len(keys):
             continue
-        new = np.concatenate([[key is None or keys[0] != key], keys[1:] != keys[:-1]])
-        heads = np.where(new, ids, 0)
-        begin = np.maximum.accumulate(np.where(new, np.arange(len(ids)), -1))
-        heads = np.where(begin >= 0, heads[np.maximum(begin, 0)], first if first is not None else 0)
-        key, first = keys[-1], heads[-1]
-        pairs = np.unique(np.stack([heads, ids], 1)[heads != ids], axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], names=["a", "b"])
+        fresh = np.append(True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1]))
+        carried = shown and not len(fresh) == 0
+        keys, ids = keys[fresh], ids[fresh]
+        same = keys[1:] == keys[:-1]
+        out = np.append(same, False) | np.append(False, same)
+        last = bool(out[-1])
+        if carried:
+            last = last or len(keys) == 1
+            out[0] = False
+        yield pa.RecordBatch.from_arrays([pa.array(keys[out]), pa.array(ids[out])], names=["key", "doc_id"])
+        keys, ids, shown = keys[-1:], ids[-1:], last
+
+
+def _groups(batches: Iterator[pa.RecordBatch], columns: int, by: int) -> Iterator[list[tuple]]:
+    """Runs of rows that agree in their first `by` columns."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in range(columns)), strict=True):
+            if held and row[:by] != held[0][:by]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def _pairs(found: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Batches of the pairs that differ."""
+    out: list[tuple[int, int]] = []
+    for ids, least in found:
+        out += [(int(a), int(b)) for a, b in zip(ids, least, strict=True) if a != b]
+        if len(out) > 10_000:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["a", "b"])
+            out = []
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["a", "b"])
 
 
-def join(docs: DataFrame, k: int = 5, percent: int = 80, weight: int = WEIGHT) -> DataFrame:
+def join(docs: DataFrame, k: int = 5, percent: int = 80, weight: int = WEIGHT, most: int = MOST) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     scratch = Scratch(docs.sparkSession, "jaccard")
     texts = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"))
@@ -188,19 +267,32 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, weight: int = WEIGHT) -
             for batch in (whole.slice(at, 512) for at in range(0, whole.num_rows, 512)):
                 sets = [shingles(t) for t in batch.column(1).to_pylist()]
                 sigs = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), np.int64).reshape(-1, 2)
-                keys = [group_digests(s, percent) for s in sets]
+                keys = [part_digests(s, percent) for s in sets]
+                vectors = pa.array([count_vector(s).tobytes() for s in sets], pa.binary())
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
                 listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys), pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs[:, 0]), pa.array(sigs[:, 1]), listed], names=["doc_id", "n", "s0", "s1", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs[:, 0]), pa.array(sigs[:, 1]), listed, vectors], names=["doc_id", "n", "s0", "s1", "keys", "vector"])
 
-    dealt = scratch.keep(texts.mapInArrow(deal, "doc_id long, n long, s0 long, s1 long, keys array<long>"))
+    dealt = scratch.keep(texts.mapInArrow(deal, "doc_id long, n long, s0 long, s1 long, keys array<long>, vector binary"))
     own = dealt.filter("n > 0 and doc_id is not null")
     least = own.groupBy("s0", "s1").agg(F.min("doc_id").alias("rep"))  # exact copies
     member = scratch.keep(own.select("doc_id", "s0", "s1").distinct().join(least, ["s0", "s1"]).select("doc_id", "rep"))
     rows = own.select(F.explode("keys").alias("key"), "doc_id").repartition("key").sortWithinPartitions("key", "doc_id")
-    ties = scratch.keep(rows.mapInArrow(_ties, "a long, b long").distinct())
-    left, right = member.withColumnsRenamed({"doc_id": "a", "rep": "ra"}), member.withColumnsRenamed({"doc_id": "b", "rep": "rb"})
-    ties = ties.join(left, "a").join(right, "b").filter("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct()
+    rows = rows.mapInArrow(_shared, "key long, doc_id long").join(member, "doc_id").select("key", F.col("rep").alias("doc_id")).distinct()
+    rows = rows.join(own.select("doc_id", "n", "vector").dropDuplicates(["doc_id"]), "doc_id").select("key", "doc_id", "n", "vector").repartition("key").sortWithinPartitions("key", "doc_id")
+
+    def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for group in _groups(batches, 4, 1):
+                ids = np.array([r[1] for r in group])
+                if 1 < len(ids) <= most:
+                    yield ids, tied(ids, np.array([r[2] for r in group]), [np.frombuffer(r[3], np.uint16) for r in group], percent)
+                else:
+                    yield ids, np.full(len(ids), ids.min())
+
+        return _pairs(found())
+
+    ties = scratch.keep(rows.mapInArrow(tie, "a long, b long").distinct())
     near = scratch.keep(components(ties, scratch))
 
     near = near.join(own.select(F.col("doc_id").alias("node"), "n").distinct(), "node")
@@ -235,29 +327,12 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, weight: int = WEIGHT) -
     sets = needed.mapInArrow(shingle, "node long, shingles binary")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-
-        def groups() -> Iterator[list[tuple]]:
-            nonlocal held
-            for batch in batches:
-                for row in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
-                    if held and row[:2] != held[0][:2]:
-                        yield held
-                        held = []
-                    held.append(row)
-            if held:
-                yield held
+        def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for group in _groups(batches, 5, 2):
+                ids, side = np.array([r[2] for r in group]), np.array([r[3] for r in group])
+                yield ids, linked(ids, [np.frombuffer(r[4], np.uint64) for r in group], percent, None if side[0] < 0 else side)
 
-        out: list[tuple[int, int, bool]] = []
-        for group in groups():
-            ids, side = np.array([r[2] for r in group]), np.array([r[3] for r in group])
-            found = linked(ids, [np.frombuffer(r[4], np.uint64) for r in group], percent, None if side[0] < 0 else side)
-            out += [(int(a), int(b)) for a, b in zip(ids, found, strict=True) if a != b]
-            if len(out) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["a", "b"])
-                out = []
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["a", "b"])
+        return _pairs(found())
 
     work = placed.join(sets, "node").select("component", "task", "node", "side", "shingles").repartition("task").sortWithinPartitions("component", "task", "node")
     links = scratch.keep(work.mapInArrow(verify, "a long, b long").distinct())
