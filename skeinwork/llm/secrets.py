@@ -72,20 +72,25 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[float]:
     ids = docs.filter(F.col("doc_id").isNotNull()).select("doc_id").orderBy(F.xxhash64("doc_id")).limit(sample_docs)
     sample = docs.join(F.broadcast(ids.distinct()), "doc_id", "left_semi").select(text_of().alias("text"))  # at most sample_docs ids
     made = spark.range(2000).select(F.lit(1).alias("label"), F.explode(F.array(F.md5(F.col("id").cast("string")), F.translate(F.base64(F.unhex(F.sha2(F.col("id").cast("string"), 256))), "=", ""))).alias("word"))
-    value = F.concat(F.transform(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), lambda v: v), F.regexp_extract_all("text", F.lit(HEX), F.lit(0)))
-    values = sample.select(F.lit(1).alias("label"), F.explode(F.filter(value, lambda v: F.length(v) >= 12)).alias("word"))
+    value = F.concat(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), F.regexp_extract_all("text", F.lit(HEX), F.lit(0)))
+    values = sample.select(F.lit(1).alias("label"), F.explode(F.transform(F.filter(value, lambda v: F.length(v) >= 12), lambda v: F.substring(v, 1, 64))).alias("word"))
     others = F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), f"{ACCESS}|{HEX}", " ")
-    words = sample.select(F.lit(0).alias("label"), F.explode(F.regexp_extract_all(others, F.lit("[A-Za-z0-9+/_=.-]{2,}"), F.lit(0))).alias("word"))
+    words = sample.select(F.lit(0).alias("label"), F.explode(F.regexp_extract_all(others, F.lit("[A-Za-z0-9+/_=.-]{2,}"), F.lit(0))).alias("word")).filter(F.col("word").rlike("^[A-Za-z_.-]+$"))
     counts = {(r.label, r.a, r.b): r["count"] for r in _pairs(made.unionAll(values).unionAll(words)).collect() if r.a < 128 and r.b < 128}
-    table, size = [], 66  # token characters
-    totals: dict[tuple[int, int], int] = {}
-    for (label, a, _), n in counts.items():
-        totals[label, a] = totals.get((label, a), 0) + n
-    for a in range(128):
-        for b in range(128):
-            likely = [math.log((counts.get((k, a, b), 0) + 0.5) / (totals.get((k, a), 0) + 0.5 * size)) for k in (0, 1)]
-            table.append(round(likely[1] - likely[0], 4))
-    return table
+    # pairs that are rare in a sample are judged by how common their second character is
+    size, weight = 66, 10.0
+    by_first: dict[tuple[int, int], int] = {}
+    by_second: dict[tuple[int, int], int] = {}
+    for (label, a, b), n in counts.items():
+        by_first[label, a] = by_first.get((label, a), 0) + n
+        by_second[label, b] = by_second.get((label, b), 0) + n
+    whole = {k: sum(n for (label, _), n in by_first.items() if label == k) for k in (0, 1)}
+
+    def likely(k: int, a: int, b: int) -> float:
+        alone = (by_second.get((k, b), 0) + 0.5) / (whole[k] + 0.5 * size)
+        return math.log((counts.get((k, a, b), 0) + weight * alone) / (by_first.get((k, a), 0) + weight))
+
+    return [round(likely(1, a, b) - likely(0, a, b), 4) for a in range(128) for b in range(128)]
 
 
 def _ratio(table: list[float], word: Column) -> Column:
