@@ -186,6 +186,37 @@ def tied(ids: np.ndarray, sizes: np.ndarray, vectors: list[np.ndarray], percent:
     return out
 
 
+#: Documents under one digest up to which all digests of a batch are looked at together, pair by pair.
+FEW = 16
+
+
+def tied_few(group: np.ndarray, sizes: np.ndarray, vectors: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of rows of one group that the bound of their count vectors allows; rows come sorted by group.
+
+    It is the bound at the leaves of the tree, for many small groups at once.
+    """
+    bits = np.array([len(v).bit_length() - 2 for v in vectors])
+    left, right = [], []
+    for d in range(1, min(FEW, len(group))):
+        a = np.flatnonzero(group[d:] == group[:-d])
+        b = a + d
+        ok = np.maximum(sizes[a], sizes[b]) * percent <= 100 * np.minimum(sizes[a], sizes[b])
+        left.append(a[ok])
+        right.append(b[ok])
+    a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (left, right))
+    found = []
+    width = np.minimum(bits[a], bits[b])
+    for w in np.unique(width):
+        for pairs in np.array_split(np.flatnonzero(width == w), max(1, int((width == w).sum() << int(w)) >> 22)):
+            used, place = np.unique(np.concatenate([a[pairs], b[pairs]]), return_inverse=True)
+            points = np.stack([np.frombuffer(vectors[i], np.uint16).reshape(-1, 1 << w).sum(0, dtype=np.int32) for i in used])
+            x, y = place[: len(pairs)], place[len(pairs) :]
+            bound = np.minimum(points[x], points[y]).sum(1)
+            found.append(pairs[bound * (100 + percent) >= percent * (sizes[a[pairs]] + sizes[b[pairs]])])
+    kept = np.concatenate(found) if found else np.empty(0, np.int64)
+    return a[kept], b[kept]
+
+
 def linked(ids: np.ndarray, sets: list[np.ndarray], percent: int, side: np.ndarray | None = None) -> np.ndarray:
     """For each set the least id that links reach; with side, only sets of different sides are compared."""
     tree = CountTree(np.array([len(s) for s in sets]), [count_vector(s) for s in sets])
@@ -210,25 +241,28 @@ def linked(ids: np.ndarray, sets: list[np.ndarray], percent: int, side: np.ndarr
     return out
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key and doc_id, the distinct ones whose key has several documents."""
-    keys = ids = np.empty(0, np.int64)
+def _shared(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by key, size and doc_id, the distinct ones whose key has another document of a size that can link.
+
+    In the order of size it is enough to look at the neighbours.
+    """
+    keys = ids = sizes = np.empty(0, np.int64)
     shown = False  # whether the row that is carried over has been given out
     for batch in batches:
-        keys, ids = np.append(keys, np.asarray(batch.column(0))), np.append(ids, np.asarray(batch.column(1)))
+        keys, sizes, ids = (np.append(x, np.asarray(batch.column(c))) for c, x in enumerate((keys, sizes, ids)))
         if not len(keys):
             continue
         fresh = np.append(True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1]))
-        carried = shown and not len(fresh) == 0
-        keys, ids = keys[fresh], ids[fresh]
-        same = keys[1:] == keys[:-1]
+        carried = shown
+        keys, ids, sizes = keys[fresh], ids[fresh], sizes[fresh]
+        same = (keys[1:] == keys[:-1]) & (sizes[1:] * percent <= 100 * sizes[:-1])
         out = np.append(same, False) | np.append(False, same)
         last = bool(out[-1])
         if carried:
             last = last or len(keys) == 1
             out[0] = False
         yield pa.RecordBatch.from_arrays([pa.array(keys[out]), pa.array(ids[out])], names=["key", "doc_id"])
-        keys, ids, shown = keys[-1:], ids[-1:], last
+        keys, ids, sizes, shown = keys[-1:], ids[-1:], sizes[-1:], last
 
 
 def _groups(batches: Iterator[pa.RecordBatch], columns: int, by: int) -> Iterator[list[tuple]]:
@@ -277,18 +311,39 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, weight: int = WEIGHT, m
     own = dealt.filter("n > 0 and doc_id is not null")
     least = own.groupBy("s0", "s1").agg(F.min("doc_id").alias("rep"))  # exact copies
     member = scratch.keep(own.select("doc_id", "s0", "s1").distinct().join(least, ["s0", "s1"]).select("doc_id", "rep"))
-    rows = own.select(F.explode("keys").alias("key"), "doc_id").repartition("key").sortWithinPartitions("key", "doc_id")
-    rows = rows.mapInArrow(_shared, "key long, doc_id long").join(member, "doc_id").select("key", F.col("rep").alias("doc_id")).distinct()
+    rows = own.select(F.explode("keys").alias("key"), "n", "doc_id").repartition("key").sortWithinPartitions("key", "n", "doc_id")
+    rows = rows.mapInArrow(lambda batches: _shared(batches, percent), "key long, doc_id long").join(member, "doc_id").select("key", F.col("rep").alias("doc_id")).distinct()
     rows = rows.join(own.select("doc_id", "n", "vector").dropDuplicates(["doc_id"]), "doc_id").select("key", "doc_id", "n", "vector").repartition("key").sortWithinPartitions("key", "doc_id")
 
     def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray, vectors: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            counts = np.diff(np.append(begin, len(keys)))
+            few = np.repeat((counts > 1) & (counts <= FEW), counts)
+            where = np.flatnonzero(few)
+            if len(where):
+                x, y = tied_few(keys[where], sizes[where], [vectors[i] for i in where], percent)
+                pairs = np.unique(np.stack([ids[where[x]], ids[where[y]]], 1), axis=0)
+                yield pairs[:, 0], pairs[:, 1]
+            for at, n in zip(begin[counts > FEW], counts[counts > FEW], strict=True):
+                own = slice(at, at + n)
+                least = tied(ids[own], sizes[own], [np.frombuffer(v, np.uint16) for v in vectors[own]], percent) if n <= most else np.full(n, ids[own].min())
+                yield ids[own], least
+
         def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            for group in _groups(batches, 4, 1):
-                ids = np.array([r[1] for r in group])
-                if 1 < len(ids) <= most:
-                    yield ids, tied(ids, np.array([r[2] for r in group]), [np.frombuffer(r[3], np.uint16) for r in group], percent)
-                else:
-                    yield ids, np.full(len(ids), ids.min())
+            keys = ids = sizes = np.empty(0, np.int64)
+            vectors: list[bytes] = []
+            for batch in batches:
+                keys, ids, sizes = (np.append(x, np.asarray(batch.column(c))) for c, x in enumerate((keys, ids, sizes)))
+                vectors += batch.column(3).to_pylist()
+                if len(keys) < 5_000:
+                    continue
+                cut = int(np.searchsorted(keys, keys[-1]))  # the last key may go on
+                if cut:
+                    yield from run(keys[:cut], ids[:cut], sizes[:cut], vectors[:cut])
+                    keys, ids, sizes, vectors = keys[cut:], ids[cut:], sizes[cut:], vectors[cut:]
+            if len(keys):
+                yield from run(keys, ids, sizes, vectors)
 
         return _pairs(found())
 

@@ -283,13 +283,30 @@ def test_linked_sets_share_a_digest(seed, percent):
 
 
 def test_shared_rows_over_batches():
+    """Rows of a digest that have another document of a fitting size, wherever batches are cut."""
     import pyarrow as pa
 
-    rows = [(1, 1), (2, 1), (2, 1), (2, 3), (3, 5), (4, 1), (4, 2), (4, 2), (4, 9), (5, 1), (5, 1)]
-    for size in range(1, 12):
-        batches = (pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows[i : i + size], strict=True)], names=["key", "doc_id"]) for i in range(0, len(rows), size))
-        got = [tuple(x.values()) for b in jaccard._shared(batches) for x in b.to_pylist()]  # noqa: SLF001
-        assert got == [(2, 1), (2, 3), (4, 1), (4, 2), (4, 9)], size
+    sizes = {1: 10, 2: 11, 3: 13, 5: 40, 9: 44}
+    rows = [(1, 1), (2, 1), (2, 1), (2, 2), (3, 5), (4, 1), (4, 2), (4, 2), (4, 5), (4, 9), (5, 1), (5, 1), (6, 1), (6, 3)]
+    expected = [(2, 1), (2, 2), (4, 1), (4, 2), (4, 5), (4, 9)]
+    for size in range(1, 15):
+        parts = [rows[i : i + size] for i in range(0, len(rows), size)]
+        batches = (pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ([k for k, _ in p], [sizes[i] for _, i in p], [i for _, i in p])], names=["key", "n", "doc_id"]) for p in parts)
+        got = [tuple(x.values()) for b in jaccard._shared(batches, 80) for x in b.to_pylist()]  # noqa: SLF001
+        assert got == expected, size
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(0, 2**32 - 1), st.sampled_from([60, 80, 90]))
+def test_few_documents_are_tied_as_by_the_tree(seed, percent):
+    r = np.random.default_rng(seed)
+    base = r.integers(0, 2**60, r.integers(5, 400)).astype(np.uint64)
+    sets = [s for s in (np.unique(np.append(base[r.random(len(base)) > r.random() * 0.3], r.integers(0, 2**60, r.integers(0, 9)).astype(np.uint64))) for _ in range(r.integers(2, 14))) if len(s)]
+    sizes, vectors = np.array([len(s) for s in sets]), [jaccard.count_vector(s) for s in sets]
+    a, b = jaccard.tied_few(np.zeros(len(sets), np.int64), sizes, [v.tobytes() for v in vectors], percent)
+    overlap = lambda u, v: int(np.minimum(*jaccard.folded([u, v])).sum())
+    expected = {(i, j) for j in range(len(sets)) for i in range(j) if max(sizes[i], sizes[j]) * percent <= 100 * min(sizes[i], sizes[j]) and overlap(vectors[i], vectors[j]) * (100 + percent) >= percent * (sizes[i] + sizes[j])}
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) == expected
 
 
 # --- repeats
