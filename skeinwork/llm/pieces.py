@@ -26,7 +26,7 @@ from skeinwork.llm.common import text_of
 
 MARK = "▁"
 #: Words that are remembered in a worker; beyond that only those met again are.
-WORDS_KEPT = 250_000
+WORDS_KEPT = 450_000
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -52,8 +52,9 @@ class MergeVocabulary:
         self.unknown = self.library.unk_id()
         if any(MARK in p.lstrip(MARK) for p in self.ids) or self.library.normalize("a  ﬁ ") not in ("a  ﬁ ", f"{MARK}a{MARK}{MARK}ﬁ{MARK}"):
             raise ValueError("only vocabularies without marks inside pieces and without normalisation are supported")
-        self.known: dict[str, tuple[str, int, str]] = {}
-        self.older: dict[str, tuple[str, int, str]] = {}
+        self.known: dict[str, str] = {}  # ids of words, without their first mark, joined by commas
+        self.older: dict[str, str] = {}
+        self.decoded: dict[str, str] = {}
 
     def merge(self, word: str) -> list[int]:
         """The ids of one word with its marks."""
@@ -90,12 +91,12 @@ class MergeVocabulary:
         return out
 
     def words(self, text: str) -> list[str]:
-        """The text as words that begin with marks; none for an empty text."""
+        """The text as words, each without the first of the marks before it; none for an empty text."""
         if not text:
             return []
         if "  " in text or MARK in text or text[0] == " ":
-            return _WORDS.findall(MARK + text.replace(" ", MARK))
-        return [MARK + w for w in text.split(" ")]
+            return [w[1:] for w in _WORDS.findall(MARK + text.replace(" ", MARK))]
+        return text.split(" ")
 
     def parts(self, word: str) -> list[str]:
         """The word cut wherever two neighbours stand together in no piece, so that no merge joins them."""
@@ -105,22 +106,26 @@ class MergeVocabulary:
     def learn(self, words: set[str]) -> None:
         """Encodes new words, and checks them against the library."""
         new = list(words)
-        theirs = self.library.encode([w[1:].replace(MARK, " ") for w in new], num_threads=1)
+        theirs = self.library.encode([w.replace(MARK, " ") for w in new], num_threads=1)
         if len(self.merged) > WORDS_KEPT:
             self.merged.clear()
         merged = self.merged
         for word, there in zip(new, theirs, strict=True):
             ids: list[int] = []
-            for part in self.parts(word):
+            for part in self.parts(MARK + word):
                 if part not in merged:
                     merged[part] = self.merge(part)
                 ids += merged[part]
-            if word != MARK and ids != there:
+            if word and ids != there:
                 raise ValueError(f"the library encodes {word!r} as {there}, not {ids}")
-            self.known[word] = (",".join(map(str, ids)), len(ids), self.decode_pieces(ids))
+            self.known[word] = ",".join(map(str, ids))
+            shown = self.decode_pieces(ids)
+            self.decoded[word] = word if shown[1:] == word else shown[1:]  # the first mark is a space
 
     def decode_pieces(self, ids: list[int]) -> str:
         """The text of ids, with marks as spaces; runs of byte pieces are read as UTF-8."""
+        if self.bytes.keys().isdisjoint(ids):
+            return "".join([self.shown[i] for i in ids])
         out, held = [], bytearray()
         for i in ids:
             if i in self.bytes:
@@ -135,7 +140,7 @@ class MergeVocabulary:
         return "".join(out)
 
     def encode(self, text: str) -> list[int]:
-        return [i for w in self.words(text) for i in self.merge(w)]
+        return [i for w in self.words(text) for i in self.merge(MARK + w)]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; the space that encoding puts first is taken off."""
@@ -163,6 +168,7 @@ def encode_documents(docs: DataFrame, model_path: str, with_ids: bool = False) -
                 texts = [v.words(t) for t in batch.column(1).to_pylist()]
                 if len(v.known) > WORDS_KEPT:
                     v.known, v.older = {}, v.known
+                    v.decoded = {w: v.decoded[w] for w in v.older}
                 known = v.known
                 new = set().union(*texts).difference(known)
                 if v.older:
@@ -172,9 +178,9 @@ def encode_documents(docs: DataFrame, model_path: str, with_ids: bool = False) -
                     v.learn(new)
                 rows = []
                 for doc, words in zip(batch.column(0).to_pylist(), texts, strict=True):
-                    found = [known[w] for w in words]
-                    ids, decoded = ",".join([x[0] for x in found]), "".join([x[2] for x in found]).removeprefix(" ")
-                    row = (doc, sum([x[1] for x in found]), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
+                    ids, decoded = ",".join(map(known.__getitem__, words)), " ".join(map(v.decoded.__getitem__, words))
+                    n = ids.count(",") + 1 if words else 0
+                    row = (doc, n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
                     rows.append((*row, [int(i) for i in ids.split(",") if i], decoded) if with_ids else row)
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
