@@ -1,8 +1,8 @@
 """Severity of toxic language, by a cumulative-link ordinal regression on sparse text features.
 
 Features are chosen by the likelihood-ratio statistic of their presence in toxic and other rows, copies of a text
-counted once.  A document's features are its distinct lower-case words and their first four and five letters.  Severity has the grades
-0 to 3.  The labels only tell toxic rows from others; the grade of a toxic row follows from how many of its words are
+counted once: of rows with one label and the same features, the one with the least doc_id is fitted, and no other is left out.
+A document's features are its distinct lower-case words and their first four and five letters.  Severity has the grades 0 to 3.  The labels only tell toxic rows from others; the grade of a toxic row follows from how many of its words are
 markers, words that at least ``MARKER_ODDS`` times as large a share of toxic as of other sample rows hold.  The model is
 P(grade > k) = sigmoid(w.x - theta_k) with one vector of weights for all thresholds and ordered thresholds; a document's
 expected severity is the sum of these probabilities, and it is toxic where P(grade > 0) is over one half.
@@ -100,8 +100,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, fe
 
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", text_of().alias("text"))  # at most sample_rows rows of two numbers
     rows = rows.mapInArrow(extract, "doc_id long, toxic int, found array<string>")
-    least = [F.array_min(F.transform("found", lambda f, k=k: F.xxhash64(f, F.lit(k)))) for k in range(2)]  # alike in copies, so that a copied text counts once
-    rows = scratch.keep(rows.withColumns({"k0": least[0], "k1": least[1]}).dropDuplicates(["toxic", "k0", "k1"]).drop("k0", "k1"))
+    rows = scratch.keep(rows.groupBy("toxic", "found").agg(F.min("doc_id").alias("doc_id")))  # a copied text counts once; whole lists are compared
     totals = {r[0]: r[1] for r in rows.groupBy("toxic").count().collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad or not good:
@@ -115,7 +114,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, fe
     index = {f: i for i, f in enumerate(names)}
     markers = {r.f for r in chosen if not r.f.endswith("*") and (r.a + 0.5) / (bad + 1) >= MARKER_ODDS * (r.b + 0.5) / (good + 1)}
     kept = rows.select("doc_id", "toxic", F.array_intersect("found", F.split(F.lit(" ".join(names)), " ")).alias("found"))
-    sampled = sorted(kept.collect(), key=lambda r: (r.doc_id, r.toxic))  # at most sample_rows rows of at most `features` names
+    sampled = sorted(kept.collect(), key=lambda r: (r.doc_id, r.toxic, r.found))  # at most sample_rows rows of at most `features` names
     grades = np.array([r.toxic and (1 + sum(len(markers.intersection(r.found)) >= c for c in (3, 6))) for r in sampled])
     weights, thresholds = fit_ordinal([np.array(sorted(index[f] for f in r.found), int) for r in sampled], grades, len(names))
     return Model({f: float(w) for f, w in zip(names, weights, strict=True) if w}, thresholds.tolist())

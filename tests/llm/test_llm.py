@@ -462,3 +462,16 @@ def test_toxicity(spark):
     assert kept.columns == docs.columns and kept.count() == sum(not r.toxic for r in got.values())
     nothing = toxicity.train(docs, known.filter("toxic = 0"))
     assert toxicity.score(docs, nothing).filter("toxic").count() == 0 and toxicity.score(docs.limit(0), model).count() == 0
+
+
+def test_only_copies_are_left_out_of_the_fit(spark, monkeypatch):
+    """Unlike texts that share most of a vocabulary are fitted each, and the order of partitions changes nothing."""
+    rows = [(i, " ".join([*VOCABULARY, "vileword"[: 8 * (i % 2)], "own" + "abcdefgh"[i // 8] + "abcdefgh"[i % 8]])) for i in range(64)]
+    rows += [(100 + i, t.upper()) for i, t in rows[:20]]
+    known = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    sizes, fit = [], toxicity.fit_ordinal
+    monkeypatch.setattr(toxicity, "fit_ordinal", lambda rows, *a, **b: sizes.append(len(rows)) or fit(rows, *a, **b))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    models = [toxicity.train(d, known) for d in (docs.repartition(5, "doc_id"), docs.orderBy(F.desc("doc_id")).coalesce(1))]
+    assert sizes == [64, 64]
+    assert models[0].weights and models[0].weights == models[1].weights and models[0].thresholds == models[1].thresholds
