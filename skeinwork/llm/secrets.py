@@ -1,8 +1,8 @@
 """Secret scans by fixed patterns and by two character Markov models, in DataFrame functions only.
 
 Three kinds of base spans are found by patterns, leftmost and without overlaps in each kind.  A fourth kind, ``markov``,
-adds runs of at least ``SHORTEST`` token characters that touch no base span and are likelier under a first-order model of
-random strings than under one of ordinary identifiers: the log-likelihood ratio, summed over the run, is at least
+adds runs of at least ``SHORTEST`` token characters, the base spans cut out of them, that are likelier under a first-order
+model of random strings than under one of ordinary identifiers: the log-likelihood ratio, summed over the run, is at least
 ``LEAST_TOTAL``, and ``LEAST_MEAN`` per character.  Both models are counts of character pairs in labelled samples: random
 strings made by hashing numbers together with the values of base spans, and the other words of the same sample of
 documents, at most ``sample_docs`` of them, those with the smallest hashes of doc_id.  The counts that reach the driver
@@ -100,22 +100,33 @@ def _ratio(table: list[float], word: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(word) - 1), F.lit(0.0), lambda s, i: s + F.get(ratios, code(i) * 128 + code(i + 1)))
 
 
-def markov_spans(text: Column, base: Column, table: list[float]) -> Column:
-    """Runs of token characters that the models take for random and that touch no base span."""
+def without_spans(text: Column, base: Column) -> Column:
+    """The text with blanks in place of its base spans, so that all other places stay."""
+    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(s: Column, span: Column) -> Column:
+        own = F.concat(F.substring(text, s["at"] + 1, span["start"] - s["at"]), F.repeat(F.lit(" "), span["end"] - F.greatest(s["at"], span["start"])))
+        return F.struct(F.greatest(s["at"], span["end"]).alias("at"), F.array_append(s["out"], own).alias("out"))
+
+    rest = lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.length(text)))
+    return F.when(F.size(base) > 0, F.aggregate(base, state, step, rest)).otherwise(text)
+
+
+def markov_spans(rest: Column, table: list[float]) -> Column:
+    """Runs of token characters, in a text without its base spans, that the models take for random."""
 
     def random(word: Column) -> Column:
         ratio = _ratio(table, word)
         return (ratio >= LEAST_TOTAL) & (ratio >= LEAST_MEAN * F.length(word))
 
-    found = _found(text, RUN, 3, random)
-    return F.filter(found, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    return _found(rest, RUN, 3, random)
 
 
 def with_spans(docs: DataFrame, table: list[float]) -> DataFrame:
-    """Adds the columns __base and __spans (all spans, sorted) to documents."""
+    """Adds the columns __base, __rest and __spans (all spans, sorted) to documents."""
     text = text_of()
-    out = docs.withColumn("__base", base_spans(text))
-    return out.withColumn("__spans", F.array_sort(F.concat("__base", markov_spans(text, F.col("__base"), table))))
+    out = docs.withColumn("__base", base_spans(text)).withColumn("__rest", without_spans(text, F.col("__base")))
+    return out.withColumn("__spans", F.array_sort(F.concat("__base", markov_spans(F.col("__rest"), table))))
 
 
 def listed(spans: Column) -> Column:
