@@ -4,8 +4,8 @@ Three kinds of base spans are found by patterns, leftmost and without overlaps i
 adds runs of at least ``SHORTEST`` token characters, the base spans cut out of them, that are likelier under a first-order
 model of random strings than under one of ordinary identifiers: the log-likelihood ratio, summed over the run, is at least
 ``LEAST_TOTAL``, and ``LEAST_MEAN`` per character.  Both models are counts of character pairs in labelled samples: random
-strings made by hashing numbers together with the values of base spans, and the other words of the same sample of
-documents, at most ``sample_docs`` of them, those with the smallest hashes of doc_id.  The counts that reach the driver
+strings made by hashing numbers together with the whole values of base spans (one of more than ``LONG`` characters weighs
+as much as one of ``LONG``), and the other words of the same sample of documents, at most ``sample_docs`` of them, those with the smallest hashes of doc_id.  The counts that reach the driver
 are at most two tables of 128 x 128.
 
 Positions of matches come from splitting a text by the same pattern: a match begins where the pieces and matches before
@@ -32,6 +32,7 @@ HEX = "[0-9a-f]{16,}"  # [0-9a-f]+ of 16 or more characters
 KINDS = ["assign", "access", "hex", "markov"]
 
 SHORTEST, LEAST_TOTAL, LEAST_MEAN, SAMPLE_DOCS = 16, 25.0, 0.8, 2000
+LONG = 64
 RUN = f"[A-Za-z0-9+/_=.-]{{{SHORTEST},}}"
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
@@ -59,11 +60,15 @@ def base_spans(text: Column) -> Column:
 
 
 def _pairs(words: DataFrame) -> DataFrame:
-    """Counts of character pairs (two codes below 128) of the words by label."""
+    """Counts of character pairs (two codes below 128) of the words by label.
+
+    The pairs of a random string of more than ``LONG`` characters weigh as much together as those of one of ``LONG``.
+    """
     at = F.explode(F.sequence(F.lit(1), F.length("word") - 1))
     rows = words.filter(F.length("word") > 1).select("label", "word", at.alias("i"))
     code = lambda i: F.ascii(F.substring("word", i, F.lit(1)))
-    return rows.groupBy("label", code(F.col("i")).alias("a"), code(F.col("i") + 1).alias("b")).count()
+    weight = F.when((F.col("label") == 1) & (F.length("word") > LONG), F.lit(LONG - 1.0) / (F.length("word") - 1)).otherwise(1.0)
+    return rows.groupBy("label", code(F.col("i")).alias("a"), code(F.col("i") + 1).alias("b")).agg(F.sum(weight.cast("decimal(12,9)")).cast("double").alias("count"))  # sums of decimals do not depend on their order
 
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[float]:
@@ -73,7 +78,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[float]:
     sample = docs.join(F.broadcast(ids.distinct()), "doc_id", "left_semi").select(text_of().alias("text"))  # at most sample_docs ids
     made = spark.range(2000).select(F.lit(1).alias("label"), F.explode(F.array(F.md5(F.col("id").cast("string")), F.translate(F.base64(F.unhex(F.sha2(F.col("id").cast("string"), 256))), "=", ""))).alias("word"))
     value = F.concat(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), F.regexp_extract_all("text", F.lit(HEX), F.lit(0)))
-    values = sample.select(F.lit(1).alias("label"), F.explode(F.transform(F.filter(value, lambda v: F.length(v) >= 12), lambda v: F.substring(v, 1, 64))).alias("word"))
+    values = sample.select(F.lit(1).alias("label"), F.explode(F.filter(value, lambda v: F.length(v) >= 12)).alias("word"))
     others = F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), f"{ACCESS}|{HEX}", " ")
     words = sample.select(F.lit(0).alias("label"), F.explode(F.regexp_extract_all(others, F.lit("[A-Za-z0-9+/_=.-]{2,}"), F.lit(0))).alias("word")).filter(F.col("word").rlike("^[A-Za-z_.-]+$"))
     counts = {(r.label, r.a, r.b): r["count"] for r in _pairs(made.unionAll(values).unionAll(words)).collect() if r.a < 128 and r.b < 128}

@@ -172,6 +172,16 @@ def test_markov_judges_runs_beside_base_spans(spark, docs):
     assert all(secret not in r.text and key not in r.text for r in masked)
 
 
+def test_markov_models_learn_from_whole_values(spark, docs):
+    """Pairs past the first 64 characters of a value count too, and a longer value weighs no more than a shorter one."""
+    ratio = {}
+    for n in (0, 60, 6000):
+        value = "ab" * 32 + "QX" * (n // 2)
+        made = spark.createDataFrame([(i, f"password={value}") for i in range(200)], "doc_id long, text string")
+        ratio[n] = secrets.train(docs.select("doc_id", "text").unionAll(made))[128 * ord("Q") + ord("X")]
+    assert ratio[0] + 0.5 < ratio[60] < ratio[6000] < ratio[60] + 1.5
+
+
 def test_markov_models_on_held_out_strings(spark, docs):
     """Random strings of other hashes are told from identifiers that the sample lacks."""
     table = secrets.train(docs)
