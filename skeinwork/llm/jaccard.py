@@ -10,8 +10,8 @@ node's largest; what survives this bound is verified on the sets themselves.
 
 Who meets whom.  Linked sets of a and b shingles differ in at most (a + b) * (100 - percent) / (100 + percent) of them.
 With one part more than that, some part is equal in both.  So each document is dealt out under the digests of its parts,
-with a number of parts that follows from its band of sizes (and that of the band below, where it can link down into it),
-and no linked pair is missed.  There are some parts more, so that an empty part need not be dealt out, unless a document
+with a number of parts that follows from its band of sizes (and those of all bands below, where it can link down into
+them), and no linked pair is missed.  There are some parts more, so that an empty part need not be dealt out, unless a document
 has more empty ones than were added; then it is dealt out under them too.
 
 Documents under one digest, their exact copies left out, are joined by an R-tree over their count vectors; those that the
@@ -101,9 +101,9 @@ def part_digests(shingles: np.ndarray, percent: int) -> np.ndarray:
     n = len(shingles)
     band = int(np.searchsorted(_STARTS, n, side="right")) - 1
     out = []
-    for k in (band, band - 1):
-        if k < 0 or k < band and n * percent > 100 * (int(_STARTS[band]) - 1):
-            continue
+    for k in range(band, -1, -1):
+        if k < band and n * percent > 100 * (int(_STARTS[k + 1]) - 1):
+            break
         parts, more = parts_of(k, percent)
         at = (mix(shingles * _A) % np.uint64(parts)).astype(np.int64)
         total = np.zeros(parts, np.uint64)

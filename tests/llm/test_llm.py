@@ -305,6 +305,19 @@ def test_linked_sets_share_a_digest(seed, percent):
     assert all(tied[i] == tied[j] for i, j in links)
 
 
+@pytest.mark.parametrize("percent", [5, 30, 50, 60, 66])
+def test_sets_of_bands_far_apart_share_a_digest(spark, percent):
+    """Sets inside larger ones, whose sizes lie any number of bands apart."""
+    base = np.random.default_rng(7).integers(0, 2**60, 400).astype(np.uint64)
+    for small in (1, 2, 5, 8, 20, 60):
+        large = min(400, small * 100 // percent)
+        assert set(jaccard.part_digests(base[:small], percent).tolist()) & set(jaccard.part_digests(base[:large], percent).tolist()), (small, large)
+    words = prose(13).split()
+    docs = spark.createDataFrame([(1, " ".join(f"{i}{w}" for i, w in enumerate(words[:8]))), (2, " ".join(f"{i}{w}" for i, w in enumerate(words)))], "doc_id long, text string")
+    if percent == 60:
+        assert {r.component_id for r in jaccard.join(docs, 1, percent).collect()} == {1}
+
+
 def test_shared_rows_over_batches():
     """Rows of a digest that have another document of a fitting size, wherever batches are cut."""
     import pyarrow as pa
