@@ -15,7 +15,8 @@ them), and no linked pair is missed.  There are some parts more, so that an empt
 has more empty ones than were added; then it is dealt out under them too.
 
 Documents under one digest, their exact copies left out, are joined by an R-tree over their count vectors; those that the
-bound leaves together are tied.  (Beyond ``most`` documents under one digest all are tied to the least.)  The connected
+bound leaves together are tied.  (Beyond ``most`` documents under one digest all are tied to the least, by a grouped
+minimum and a join; the vectors of such documents go to no task.)  The connected
 sets of the ties hold all linked pairs.  A connected set is verified in one task, by an R-tree again; one with more than
 ``weight`` shingles is dealt into blocks by size band and hash, and each pair of blocks that can link is a task.
 
@@ -290,6 +291,13 @@ def _pairs(found: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["a", "b"])
 
 
+def crowded(rows: DataFrame, most: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Of distinct rows (key, doc_id) those of keys with at most `most` documents, and the ties of all others to the least of their key."""
+    large = rows.groupBy("key").agg(F.count("*").alias("times"), F.min("doc_id").alias("least")).filter(F.col("times") > most)
+    large = scratch.keep(large.select("key", "least"))  # at most one row for each `most` rows
+    return rows.join(large, "key", "left_anti"), rows.join(large, "key").select(F.col("doc_id").alias("a"), F.col("least").alias("b")).filter("a <> b")
+
+
 def join(docs: DataFrame, k: int = 5, percent: int = 80, weight: int = WEIGHT, most: int = MOST) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     scratch = Scratch(docs.sparkSession, "jaccard")
@@ -313,6 +321,7 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, weight: int = WEIGHT, m
     member = scratch.keep(own.select("doc_id", "s0", "s1").distinct().join(least, ["s0", "s1"]).select("doc_id", "rep"))
     rows = own.select(F.explode("keys").alias("key"), "n", "doc_id").repartition("key").sortWithinPartitions("key", "n", "doc_id")
     rows = rows.mapInArrow(lambda batches: _shared(batches, percent), "key long, doc_id long").join(member, "doc_id").select("key", F.col("rep").alias("doc_id")).distinct()
+    rows, hot = crowded(scratch.keep(rows), most, scratch)
     rows = rows.join(own.select("doc_id", "n", "vector").dropDuplicates(["doc_id"]), "doc_id").select("key", "doc_id", "n", "vector").repartition("key").sortWithinPartitions("key", "doc_id")
 
     def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,7 +336,7 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, weight: int = WEIGHT, m
                 yield pairs[:, 0], pairs[:, 1]
             for at, n in zip(begin[counts > FEW], counts[counts > FEW], strict=True):
                 own = slice(at, at + n)
-                least = tied(ids[own], sizes[own], [np.frombuffer(v, np.uint16) for v in vectors[own]], percent) if n <= most else np.full(n, ids[own].min())
+                least = tied(ids[own], sizes[own], [np.frombuffer(v, np.uint16) for v in vectors[own]], percent)
                 yield ids[own], least
 
         def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -347,7 +356,7 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, weight: int = WEIGHT, m
 
         return _pairs(found())
 
-    ties = scratch.keep(rows.mapInArrow(tie, "a long, b long").distinct())
+    ties = scratch.keep(rows.mapInArrow(tie, "a long, b long").unionAll(hot).distinct())
     near = scratch.keep(components(ties, scratch))
 
     near = near.join(own.select(F.col("doc_id").alias("node"), "n").distinct(), "node")

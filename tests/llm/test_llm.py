@@ -332,6 +332,14 @@ def test_shared_rows_over_batches():
         assert got == expected, size
 
 
+def test_crowded_digests_are_tied_without_vectors(spark):
+    """No digest of more than `most` documents is left for the tasks that gather vectors, and each of its documents is tied."""
+    rows = spark.createDataFrame([(k, 10 * k + i) for k, n in ((1, 2), (2, 5), (3, 6), (4, 40)) for i in range(n)], "key long, doc_id long").repartition(4)
+    small, ties = jaccard.crowded(rows, 5, Scratch(spark, "test"))
+    assert {(r.key, r["count"]) for r in small.groupBy("key").count().collect()} == {(1, 2), (2, 5)}
+    assert {tuple(r) for r in ties.collect()} == {(10 * k + i, 10 * k) for k, n in ((3, 6), (4, 40)) for i in range(1, n)}
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.integers(0, 2**32 - 1), st.sampled_from([60, 80, 90]))
 def test_few_documents_are_tied_as_by_the_tree(seed, percent):
