@@ -57,6 +57,29 @@ class Scratch:
             target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)  # noqa: SLF001
 
 
+#: A key is crowded where it holds more than one of SHARE parts of all rows, and more than LEAST_CROWD of them.
+SHARE, LEAST_CROWD, SALTS = 1024, 1000, 64
+
+
+def crowded_keys(counts: DataFrame, key: str, n: str, total: int | None = None) -> list[int]:
+    """The keys that hold over one of ``SHARE`` parts of the rows that n counts, so at most ``SHARE`` of them reach the driver."""
+    if total is None:
+        total = counts.agg(F.sum(n)).first()[0] or 0
+    if total <= LEAST_CROWD:
+        return []
+    return [r[0] for r in counts.filter(F.col(n) > max(total / SHARE, LEAST_CROWD)).select(key).collect()]
+
+
+def join_spread(many: DataFrame, one: DataFrame, key: str, crowded: list[int]) -> DataFrame:
+    """many joined with its row of one by key; the rows of crowded keys are dealt to ``SALTS`` tasks each, by a hash of all their columns."""
+    if not crowded:
+        return many.join(one, key)
+    hot = F.col(key).isin(crowded)
+    many = many.withColumn("__salt", F.when(hot, F.pmod(F.xxhash64(*many.columns), F.lit(SALTS))).otherwise(0).cast("int"))
+    one = one.withColumn("__salt", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    return many.join(one, [key, "__salt"]).drop("__salt")
+
+
 def text_of(column: str = "text") -> Column:
     """The text, or an empty one for null."""
     return F.coalesce(F.col(column), F.lit(""))

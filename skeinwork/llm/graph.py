@@ -1,8 +1,9 @@
 """Connected components of a graph of any size, by alternating large-star and small-star steps on DataFrames.
 
 Each step moves the neighbours of a node to the least node it knows (Kiveris and others, "Connected Components in
-MapReduce and Beyond", 2014).  A step is a grouped minimum, summed up before the shuffle, and a join; tables are
-written between rounds, and nothing but two sums reaches the driver.
+MapReduce and Beyond", 2014).  A step is a grouped minimum, summed up before the shuffle, and a join that deals the edges
+of a hub to many tasks; tables are written between rounds, and nothing but two sums and the names of the hubs, at most
+``common.SHARE`` of them, reaches the driver.
 """
 
 from __future__ import annotations
@@ -10,23 +11,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skeinwork.llm.common import Scratch
+from skeinwork.llm.common import LEAST_CROWD, Scratch, crowded_keys, join_spread
+
+
+def _moved(edges: DataFrame, least: DataFrame, total: int, scratch: Scratch, and_least: bool = False) -> DataFrame:
+    """For each edge u, v the edge from v to the least node m that u knows, and with and_least that from u to m."""
+    known = scratch.keep(least) if total > LEAST_CROWD else least
+    out = join_spread(edges, known.drop("degree"), "u", crowded_keys(known, "u", "degree", total))
+    out = out.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+    out = scratch.keep((out.unionAll(known.select("u", F.col("m").alias("v"))) if and_least else out).distinct())
+    scratch.drop(known)
+    return out
 
 
 def components(edges: DataFrame, scratch: Scratch, limit: int = 60) -> DataFrame:
     """node and component (its least node) for every node of the edges a, b; loops are ignored."""
     e = scratch.keep(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    before = None
+    before, n = None, e.count()
     for _ in range(limit):
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").unionAll(low.select("u", F.col("m").alias("v"))).distinct()
-        after = scratch.keep(small)
+        up = F.col("v") > F.col("u")
+        large = _moved(both.filter(up), both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count_if(up).alias("degree")), n, scratch)
+        after = _moved(large, large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree")), n, scratch, and_least=True)
         row = after.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         scratch.drop(e)
-        e, now = after, (row.n, row.s)
+        scratch.drop(large)
+        e, n, now = after, row.n, (row.n, row.s)
         if now == before:
             break
         before = now
