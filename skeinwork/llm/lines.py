@@ -10,9 +10,11 @@ The groups, and which document keeps each, are found with partial sums before th
 rows (hash, doc_id, lines) with the repeated hashes.  Should two different texts share a hash, that hash is set apart and
 joined by whole texts.
 
-Defined results: a null text stays null; an empty text is one empty line; rows with the same doc_id are one document and
-keep what it keeps; rows with null doc_id take part in nothing and stay as they are; single lines are never removed; an
-empty table gives an empty result; other columns are kept by dedup().
+Defined results: a null text stays null; an empty text is one empty line; rows with the same doc_id and text are one
+document and keep what it keeps; rows that share a doc_id but not the text are documents of their own, in the order of a
+hash of the text; rows with null doc_id take part in nothing and stay as they are; single lines are never removed; an
+empty table gives an empty result; other columns are kept by dedup().  A chunk that very many documents hold is dealt to
+many tasks.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skeinwork.llm.common import Scratch
+from skeinwork.llm.common import Scratch, crowded_keys, join_spread
 
 MEAN_LINES = 3
 _MODULUS = 2147483647
@@ -45,30 +47,40 @@ def line_chunks(text: Column, mean_lines: int = MEAN_LINES) -> Column:
     return F.flatten(F.transform(F.array(cut), chunks))
 
 
+def _copy() -> Column:
+    """Tells rows that share a doc_id but not the text apart; rows that share both are one document."""
+    return F.xxhash64("text").bitwiseAND((1 << 62) - 1)
+
+
 def repeated_chunks(docs: DataFrame, mean_lines: int = MEAN_LINES, scratch: Scratch | None = None) -> DataFrame:
-    """doc_id and runs (array<struct<first, n>>): the line runs that each document loses."""
+    """doc_id, copy and runs (array<struct<first, n>>): the line runs that each document loses."""
     scratch = scratch or Scratch(docs.sparkSession, "lines")
-    rows = docs.filter(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.explode(F.filter(line_chunks(F.col("text"), mean_lines), lambda c: c["n"] > 1)).alias("c"))
-    rows = rows.select("doc_id", "c.first", "c.n", "c.text", F.xxhash64("c.text").alias("key"))
-    groups = rows.groupBy("key", "text").agg(F.count("*").alias("times"), F.min("doc_id").alias("keeper"))
+    rows = docs.filter(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), _copy().alias("copy"), F.explode(F.filter(line_chunks(F.col("text"), mean_lines), lambda c: c["n"] > 1)).alias("c"))
+    # one number that orders documents by doc_id and then copy, which partial sums can hold
+    order = F.col("doc_id").cast("decimal(19,0)") * F.lit(1 << 62).cast("decimal(19,0)") + F.col("copy")
+    rows = rows.select("doc_id", "copy", order.alias("doc"), "c.first", "c.n", "c.text", F.xxhash64("c.text").alias("key"))
+    groups = rows.groupBy("key", "text").agg(F.count("*").alias("times"), F.min("doc").alias("keeper"))
     groups = scratch.keep(groups.groupBy("key").agg(F.count("*").alias("texts"), F.sum("times").alias("times"), F.min("keeper").alias("keeper"), F.count_if(F.col("times") > 1).alias("known")).filter(F.col("known") > 0).drop("known"))
-    small = scratch.keep(rows.groupBy("key", "doc_id").agg(F.min("first").alias("kept"), F.collect_list(F.struct("first", "n")).alias("runs")))
-    hit = small.join(groups.filter("texts = 1 and times > 1"), "key")
-    lost = hit.select("doc_id", F.explode("runs").alias("run"), "kept", "keeper").filter((F.col("doc_id") != F.col("keeper")) | (F.col("run.first") != F.col("kept"))).select("doc_id", "run")
+    small = scratch.keep(rows.groupBy("key", "doc_id", "copy", "doc").agg(F.min("first").alias("kept"), F.collect_list(F.struct("first", "n")).alias("runs")))
+    crowded = crowded_keys(groups, "key", "times")
+    gone = (F.col("doc") != F.col("keeper")) | (F.col("run.first") != F.col("kept"))
+    hit = join_spread(small, groups.filter("texts = 1 and times > 1").select("key", "keeper"), "key", crowded)
+    lost = hit.select("doc_id", "copy", "doc", F.explode("runs").alias("run"), "kept", "keeper").filter(gone).select("doc_id", "copy", "run")
     if not groups.filter("texts > 1").isEmpty():
         shared = groups.filter("texts > 1").select("key")
         both = rows.join(shared, "key", "left_semi")
-        again = both.groupBy("key", "text").agg(F.count("*").alias("times"), F.min("doc_id").alias("keeper")).filter("times > 1")
-        first = both.groupBy("key", "text", "doc_id").agg(F.min("first").alias("kept"), F.collect_list(F.struct("first", "n")).alias("runs"))
-        more = first.join(again, ["key", "text"]).select("doc_id", F.explode("runs").alias("run"), "kept", "keeper")
-        lost = lost.unionAll(more.filter((F.col("doc_id") != F.col("keeper")) | (F.col("run.first") != F.col("kept"))).select("doc_id", "run"))
-    return lost.distinct().groupBy("doc_id").agg(F.array_sort(F.collect_list("run")).alias("runs"))
+        again = both.groupBy("key", "text").agg(F.count("*").alias("times"), F.min("doc").alias("keeper")).filter("times > 1")
+        first = both.groupBy("key", "text", "doc_id", "copy", "doc").agg(F.min("first").alias("kept"), F.collect_list(F.struct("first", "n")).alias("runs"))
+        more = first.join(again, ["key", "text"]).select("doc_id", "copy", "doc", F.explode("runs").alias("run"), "kept", "keeper")
+        lost = lost.unionAll(more.filter(gone).select("doc_id", "copy", "run"))
+    return lost.distinct().groupBy("doc_id", "copy").agg(F.array_sort(F.collect_list("run")).alias("runs"))
 
 
 def _cut(docs: DataFrame, mean_lines: int) -> DataFrame:
     """The documents with the runs that they lose in __runs and the text that stays in __kept."""
     runs = repeated_chunks(docs.select("doc_id", "text"), mean_lines)
-    out = docs.join(runs.select(F.col("doc_id"), F.col("runs").alias("__runs")), "doc_id", "left")
+    out = docs.withColumn("__doc", F.col("doc_id").cast("long")).withColumn("__copy", F.when(F.col("text").isNotNull(), _copy()))
+    out = out.join(runs.select(F.col("doc_id").alias("__doc"), F.col("copy").alias("__copy"), F.col("runs").alias("__runs")), ["__doc", "__copy"], "left").drop("__doc", "__copy")
     # the lines between the runs, slice by slice
     state = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<string>>").alias("out"))
 
