@@ -50,7 +50,7 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.removed(read(spark, sf_dir, "documents")).drop("spans")
+    return repeats.removed(read(spark, sf_dir, "documents"), null_ids=True).drop("spans")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

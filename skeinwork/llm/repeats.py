@@ -14,18 +14,24 @@ at that start.  All strings of a trigger overlap, so what an entry loses is one
 on its own and not for the corpus at once, since only strings with equal triggers can be equal.
 
 Scale.  Tables hold a row for each trigger, about one for 150 bytes, and texts only of entries that are compared.  The
-counts are summed up before the shuffle.  A trigger with more than ``most`` entries is not put into one task: its strings
-are counted by 128-bit digests, a row for each start.
+counts are summed up before the shuffle, and the rows of crowded triggers and entries are dealt to many tasks.  The
+entries of a trigger are put into order in one task as long as they are at most ``most``.  The orders of a larger one are
+made class by class: its starts are halved, and entries that share a string with a start in one half agree in as many
+bytes on the left as the half's least start asks for, and on the right as its largest one leaves.  Each such class is a
+group of its own; a class of one entry holds no repeated string, one whose entries agree all over the half is done, and
+those that are still too large are halved again.
 
 Defined results: matches do not cross documents; a null text is an empty one; a text shorter than ``length`` loses
-nothing; a doc_id stands for one document, and rows that repeat it count as copies of each other; rows with a null
-doc_id are returned and lose nothing; an empty table gives an empty result; other columns are ignored.
+nothing; each row is a document of its own, known by a digest of doc_id and text, so that rows that share a doc_id lose
+what their own text repeats; rows with a null doc_id are returned, and take part like all others where ``null_ids`` is
+set (as in the registered query); an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +39,32 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skeinwork.llm.common import Scratch, text_of
+from skeinwork.llm.common import Scratch, crowded_keys, join_spread, text_of
 
-LENGTH, TRIGGER, MOST, CHUNK = 400, 100, 30_000, 1 << 20
+LENGTH, TRIGGER, MOST, CHUNK = 400, 100, 4096, 1 << 20
 _PLACE = 24  # bits of a place within a segment
 _BASE = 0x9E3779B97F4A7C15
 _random = np.random.default_rng(7)
 _BYTES = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers: list[np.ndarray] = []
+_PARSED = {"k0": pa.int64(), "k1": pa.int32(), "place": pa.int32(), "a": pa.int64(), "c": pa.int64()}  # a row, and the digests of trigger and context
+_WORK = {"g": pa.int64(), "low": pa.int32(), "high": pa.int32(), "a": pa.int64(), "c": pa.int64(), "before": pa.binary(), "after": pa.binary()}
+_RANGE = {"a": pa.int64(), "c": pa.int64(), "least": pa.int32(), "most": pa.int32()}
+_CUT = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string(), "spans": pa.list_(pa.list_(pa.int64()))}
+
+
+def _schema(columns: dict[str, pa.DataType]) -> str:
+    names = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary"}
+    return ", ".join(f"{c} {names[t]}" for c, t in columns.items())
+
+
+def _batch(values: Iterable, columns: dict[str, pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(values, columns.values(), strict=True)], names=list(columns))
+
+
+def _slices(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        yield from (whole.slice(at, n) for at in range(0, whole.num_rows, n))
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,11 +131,10 @@ def triggers(texts: list[bytes], length: int = LENGTH, width: int = TRIGGER) ->
     return out
 
 
-def entries(text: bytes, places: list[int], length: int, width: int) -> Iterator[tuple[int, int, int, int, int]]:
-    """place, digests of trigger and context, and the context's ends."""
+def entries(text: bytes, places: list[int], length: int, width: int) -> Iterator[tuple[int, int, int]]:
+    """place and the digests of trigger and context."""
     for p in places:
-        low, high = max(0, p - length + width), min(len(text), p + length)
-        yield p, xxhash.xxh3_64_intdigest(text[p : p + width]) - (1 << 63), xxhash.xxh3_64_intdigest(text[low:high], p - low) - (1 << 63), low, high
+        yield p, xxhash.xxh3_64_intdigest(text[p : p + width]) - (1 << 63), xxhash.xxh3_64_intdigest(text[max(0, p - length + width) : p + length], min(p, length - width)) - (1 << 63)
 
 
 def _neighbours(rows: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,8 +148,8 @@ def _neighbours(rows: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.nda
     return order, np.concatenate([[-1], np.where(group[order][1:] == group[order][:-1], common, -1)])
 
 
-def combine(group: np.ndarray, left: list[bytes], right: list[bytes], length: int, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each entry the least and the largest left reach of its repeated strings; -1 where there is none.
+def combine(group: np.ndarray, left: list[bytes], right: list[bytes], length: int, width: int, low: np.ndarray | int = 0, high: np.ndarray | int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """For each entry the least and the largest left reach, from low to high, of its repeated strings; -1 where there is none.
 
     left holds the bytes before the trigger, right those from the trigger on.
     """
@@ -142,7 +165,8 @@ def combine(group: np.ndarray, left: list[bytes], right: list[bytes], length: in
     (lo, lcp), (ro, rcp) = _neighbours(table([p[::-1] for p in left], reach), group), _neighbours(table(right, length), group)
     least, most = np.full(n, -1), np.full(n, -1)
     left_class, right_class = np.empty(n, np.int64), np.empty(n, np.int64)
-    for l in range(reach + 1):  # noqa: E741
+    low, high = np.broadcast_to(low, n), np.broadcast_to(reach if high is None else high, n)
+    for l in range(int(low.min()), int(high.max()) + 1):  # noqa: E741
         left_class[lo] = np.cumsum(lcp < l)
         right_class[ro] = np.cumsum(rcp < length - l)
         both = left_class * (n + 1) + right_class
@@ -152,27 +176,28 @@ def combine(group: np.ndarray, left: list[bytes], right: list[bytes], length: in
         twice[1:] = x[1:] == x[:-1]
         twice[:-1] |= twice[1:]
         found = order[twice]
+        found = found[(low[found] <= l) & (l <= high[found])]
         least[found] = np.where(least[found] < 0, l, least[found])
         most[found] = l
     return least, most
 
 
 def _compare(batches: Iterator[pa.RecordBatch], length: int, width: int) -> Iterator[pa.RecordBatch]:
-    """Rows (trigger, entry, before, after), sorted by trigger, to rows (trigger, entry, least, most)."""
+    """Rows (group, low, high, trigger, entry, before, after), sorted by group, to rows (trigger, entry, least, most)."""
     held: list[tuple] = []
 
     def run(rows: list[tuple]) -> pa.RecordBatch:
-        keys, entry, left, right = zip(*rows, strict=True)
+        keys, low, high, trigger, entry, left, right = zip(*rows, strict=True)
         group = np.cumsum(np.concatenate([[0], np.diff(np.array(keys, np.int64)) != 0]))
-        least, most = combine(group, left, right, length, width)
+        least, most = combine(group, left, right, length, width, np.array(low), np.array(high))
         ok = most >= 0
-        return pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.int64)[ok]), pa.array(np.array(entry, np.int64)[ok]), pa.array(least[ok], pa.int32()), pa.array(most[ok], pa.int32())], names=["a", "c", "least", "most"])
+        return _batch([np.array(trigger, np.int64)[ok], np.array(entry, np.int64)[ok], least[ok], most[ok]], _RANGE)
 
     for batch in batches:
-        held += zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)
+        held += zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True)
         if len(held) >= 10_000:
             last, cut = held[-1][0], len(held)
-            while cut and held[cut - 1][0] == last:  # the last trigger may go on
+            while cut and held[cut - 1][0] == last:  # the last group may go on
                 cut -= 1
             if cut:
                 yield run(held[:cut])
@@ -181,79 +206,101 @@ def _compare(batches: Iterator[pa.RecordBatch], length: int, width: int) -> Iter
         yield run(held)
 
 
-def removed(docs: DataFrame, length: int = LENGTH, width: int = TRIGGER, most: int = MOST) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans (start and end of the removed runs) of every document."""
+def _halved(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a group to rows of its classes, one for each half of the starts, with a digest of all that the half may need."""
+    for batch in _slices(batches, 256):
+        rows = []
+        for g, low, high, a, c, before, after in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
+            middle = (low + high) // 2
+            for first, last in ((low, middle), (middle + 1, high)):
+                if len(before) < first or len(after) < length - last:
+                    continue  # too near an end of its text for any of these starts
+                common = before[len(before) - first :] + after[: length - last]
+                whole = before[len(before) - last :] + after[: length - first] if len(before) >= last and len(after) >= length - first else c.to_bytes(8, "big", signed=True) + b"cut"
+                key = xxhash.xxh3_64_intdigest(common, (g + first * 1024 + last) & ((1 << 64) - 1))
+                rows.append((key - (1 << 63), first, last, a, c, before, after, xxhash.xxh3_64_intdigest(whole) - (1 << 63)))
+        yield _batch(zip(*rows, strict=True) if rows else [[]] * 8, {**_WORK, "whole": pa.int64()})
+
+
+def _repeated(cool: DataFrame, hot: DataFrame | None, length: int, width: int, most: int, scratch: Scratch) -> DataFrame:
+    """trigger, entry and the least and the largest left reach of the strings that other entries of the trigger hold too."""
+    todo, done = [cool], []
+    while hot is not None:
+        parts = scratch.keep(hot.mapInArrow(lambda batches: _halved(batches, length), f"{_schema(_WORK)}, whole long"))
+        classes = scratch.keep(parts.groupBy("g").agg(F.count("*").alias("n"), F.min("whole").alias("w0"), F.max("whole").alias("w1")).filter("n > 1"))
+        met = join_spread(parts, classes, "g", crowded_keys(classes, "g", "n"))
+        done.append(met.filter("w0 = w1").select("a", "c", F.col("low").alias("least"), F.col("high").alias("most")))
+        todo.append(met.filter(f"w0 <> w1 and n <= {most}").select(*_WORK))
+        hot = None if classes.filter(f"w0 <> w1 and n > {most}").isEmpty() else met.filter(f"w0 <> w1 and n > {most}").select(*_WORK)
+    work = reduce(DataFrame.unionAll, todo).repartition("g").sortWithinPartitions("g", "a", "c")
+    found = reduce(DataFrame.unionAll, done, work.mapInArrow(lambda batches: _compare(batches, length, width), _schema(_RANGE)))
+    return found.groupBy("a", "c").agg(F.min("least").alias("least"), F.max("most").alias("most")) if done else found
+
+
+def removed(docs: DataFrame, length: int = LENGTH, width: int = TRIGGER, most: int = MOST, null_ids: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans (start and end of the removed runs) of every document.
+
+    null_ids tells whether rows with a null doc_id take part; without, they neither lose bytes nor make others lose any.
+    """
     scratch = Scratch(docs.sparkSession, "repeats")
+    reach = length - width
     texts = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"))
+    texts = texts.withColumns({"k0": F.xxhash64("doc_id", "text"), "k1": F.hash("text", F.octet_length("text"))})  # 96 bits that name a row; equal rows lose the same
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in (whole.slice(at, 256) for at in range(0, whole.num_rows, 256)):
-                data = [t.encode() for t in batch.column(1).to_pylist()]
-                rows = [(doc, *e) for doc, text, places in zip(batch.column(0).to_pylist(), data, triggers(data, length, width), strict=True) for e in entries(text, places, length, width)]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else [[]] * 6, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["doc_id", "place", "a", "c", "low", "high"])
-
-    parsed = scratch.keep(texts.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= length)).mapInArrow(parse, "doc_id long, place int, a long, c long, low int, high int"))
-    dictionary = parsed.groupBy("a", "c").agg(F.count("*").alias("times"), F.min("doc_id").alias("doc_id"), F.min_by("place", "doc_id").alias("place"))
+        for batch in _slices(batches, 256):
+            data = [t.encode() for t in batch.column(2).to_pylist()]
+            rows = [(k0, k1, *e) for k0, k1, text, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), data, triggers(data, length, width), strict=True) for e in entries(text, places, length, width)]
+            yield _batch(zip(*rows, strict=True) if rows else [[]] * 5, _PARSED)
+
+    whole_texts = F.octet_length("text") >= length
+    parsed = scratch.keep(texts.filter(whole_texts if null_ids else whole_texts & F.col("doc_id").isNotNull()).select("k0", "k1", "text").mapInArrow(parse, _schema(_PARSED)))
+    # min_by takes all its values from one row
+    dictionary = parsed.groupBy("a", "c").agg(F.count("*").alias("times"), F.min("k0").alias("k0"), F.min_by("k1", "k0").alias("k1"), F.min_by("place", "k0").alias("place"))
     # a trigger with a single entry that occurs once is of no interest; the others are few
-    kinds = dictionary.groupBy("a").agg(F.count("*").alias("kinds"), F.min("times").alias("fewest"), F.sum("times").alias("all")).filter("all > 1")
-    known = scratch.keep(dictionary.join(kinds, "a"))
+    kinds = scratch.keep(dictionary.groupBy("a").agg(F.count("*").alias("kinds"), F.min("times").alias("fewest"), F.sum("times").alias("all")).filter("all > 1"))
+    known = scratch.keep(join_spread(dictionary, kinds, "a", crowded_keys(kinds, "a", "kinds")))
     compared = known.filter("kinds > 1 and fewest = 1")
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in (whole.slice(at, 256) for at in range(0, whole.num_rows, 256)):
-                rows = []
-                for text, listed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    text = text.encode()
-                    rows += [(e["a"], e["c"], text[max(0, e["place"] - length + width) : e["place"]], text[e["place"] : e["place"] + length], e["hot"]) for e in listed]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.bool_()), strict=True)], names=["a", "c", "before", "after", "hot"])
-
-    wanted = compared.groupBy("doc_id").agg(F.collect_list(F.struct("a", "c", "place", (F.col("kinds") > most).alias("hot"))).alias("listed"))  # an entry for each trigger of a document at most
-    shown = texts.join(wanted, "doc_id").select("text", "listed").mapInArrow(contexts, "a long, c long, before binary, after binary, hot boolean")
-    if any_hot := not compared.filter(F.col("kinds") > most).isEmpty():
+        for batch in _slices(batches, 256):
+            rows = []
+            for text, listed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                text = text.encode()
+                rows += [(e["a"], 0, reach, e["a"], e["c"], text[max(0, e["place"] - reach) : e["place"]], text[e["place"] : e["place"] + length], e["hot"]) for e in listed]
+            yield _batch(zip(*rows, strict=True) if rows else [[]] * 8, {**_WORK, "hot": pa.bool_()})
+
+    wanted = compared.groupBy("k0", "k1").agg(F.collect_list(F.struct("a", "c", "place", (F.col("kinds") > most).alias("hot"))).alias("listed"))  # an entry for each trigger of a document at most
+    shown = texts.join(wanted, ["k0", "k1"]).select("text", "listed").mapInArrow(contexts, f"{_schema(_WORK)}, hot boolean")
+    hot = None
+    if not kinds.filter(f"kinds > {most} and fewest = 1").isEmpty():
         shown = scratch.keep(shown)
-    cool = shown.filter("not hot").drop("hot").repartition("a").sortWithinPartitions("a", "c")
-    partly = cool.mapInArrow(lambda batches: _compare(batches, length, width), "a long, c long, least int, most int")
-    if any_hot:
-
-        def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for batch in (whole.slice(at, 64) for at in range(0, whole.num_rows, 64)):
-                    rows = []
-                    for a, c, before, after in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                        text = before + after
-                        for reach in range(len(before) + 1):
-                            if len(part := text[len(before) - reach : len(before) - reach + length]) == length:
-                                digest = xxhash.xxh3_128_intdigest(part)
-                                rows.append((a, c, reach, (digest >> 64) - (1 << 63), (digest & ((1 << 64) - 1)) - (1 << 63)))
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)], names=["a", "c", "reach", "h0", "h1"])
-
-        each = shown.filter("hot").drop("hot").mapInArrow(strings, "a long, c long, reach int, h0 long, h1 long")
-        again = each.groupBy("a", "reach", "h0", "h1").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-        partly = partly.unionAll(each.join(again, ["a", "reach", "h0", "h1"]).groupBy("a", "c").agg(F.min("reach").alias("least"), F.max("reach").alias("most")))
+        hot = shown.filter("hot").select(*_WORK).dropDuplicates(["a", "c"])
+    partly = _repeated(shown.filter("not hot").select(*_WORK), hot, length, width, most, scratch)
     whole = F.lit(None).cast("int")
     lost = known.filter("times > 1").select("a", "c", whole.alias("least"), whole.alias("most")).unionAll(partly.join(known.filter("times = 1").select("a", "c"), ["a", "c"]).select("a", "c", "least", "most"))
-    ranges = parsed.join(lost, ["a", "c"]).select("doc_id", F.coalesce(F.col("place") - F.col("most"), "low").alias("low"), F.coalesce(F.col("place") - F.col("least") + length, "high").alias("high"))
-    ranges = ranges.groupBy("doc_id").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))  # a range for each trigger of a document at most
+    # entries are told apart by both digests; the rows of one are dealt out by that of the context
+    lost = lost.withColumnRenamed("a", "own")
+    ranges = join_spread(parsed, lost, "c", crowded_keys(known.filter("times > 1"), "c", "times")).filter("a = own")
+    ranges = ranges.select("k0", "k1", F.coalesce(F.col("place") - F.col("most"), F.greatest(F.col("place") - reach, F.lit(0))).alias("low"), F.coalesce(F.col("place") - F.col("least"), "place").alias("last"))
+    ranges = ranges.groupBy("k0", "k1").agg(F.collect_set(F.struct("low", (F.col("last") + length).alias("high"))).alias("ranges"))  # a range for each trigger of a document at most
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in (whole.slice(at, 256) for at in range(0, whole.num_rows, 256)):
-                rows = []
-                for doc, text, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                    text, spans = text.encode(), []
-                    for low, high in sorted((r["low"], r["high"]) for r in found or []):
-                        if spans and low <= spans[-1][1]:
-                            spans[-1][1] = max(spans[-1][1], high)
-                        else:
-                            spans.append([low, high])
-                    kept, at = hashlib.sha256(), 0
-                    for low, high in spans:
-                        kept.update(text[at:low])
-                        at = high
-                    kept.update(text[at:])
-                    rows.append((doc, len(text), sum(b - a for a, b in spans), len(spans), kept.hexdigest(), spans))
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else [[]] * 6, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.list_(pa.int64()))), strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
-
-    return texts.join(ranges, "doc_id", "left").select("doc_id", "text", "ranges").mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>")
+        for batch in _slices(batches, 256):
+            rows = []
+            for doc, text, found in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                text, spans = text.encode(), []
+                for low, high in sorted((r["low"], min(r["high"], len(text))) for r in found or []):
+                    if spans and low <= spans[-1][1]:
+                        spans[-1][1] = max(spans[-1][1], high)
+                    else:
+                        spans.append([low, high])
+                kept, at = hashlib.sha256(), 0
+                for low, high in spans:
+                    kept.update(text[at:low])
+                    at = high
+                kept.update(text[at:])
+                rows.append((doc, len(text), sum(b - a for a, b in spans), len(spans), kept.hexdigest(), spans))
+            yield _batch(zip(*rows, strict=True) if rows else [[]] * 6, _CUT)
+
+    return texts.join(ranges, ["k0", "k1"], "left").select("doc_id", "text", "ranges").mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>")
