@@ -234,6 +234,31 @@ def test_lines_with_null_ids_and_repeats(spark):
     assert got[None, True] == 1 and got[1, True] == 2 and got[2, None] == 1
 
 
+def test_lines_of_repeated_ids_with_unlike_texts(spark):
+    """Rows that share a doc_id but not the text are documents of their own, and each loses its own lines."""
+    t, u = ("\n".join(f"{w} {i}" for i in range(12)) for w in ("line", "row"))
+    df = spark.createDataFrame([(1, t), (1, u), (2, t), (2, u), (3, f"x\n{u}")], "doc_id long, text string").repartition(3)
+    seen, expected = set(), []
+    for i, text in ((1, t), (1, u), (2, t), (2, u), (3, f"x\n{u}")):
+        kept = []
+        for _, own in chunks_of(text):
+            if len(own) == 1 or tuple(own) not in seen:
+                kept += own
+            seen.add(tuple(own))
+        expected.append((i, "\n".join(kept)))
+    assert sorted((r.doc_id, r.text) for r in lines.dedup(df).collect()) == sorted(expected)
+
+
+def test_lines_of_a_crowded_chunk(spark, monkeypatch):
+    """A chunk of most documents, dealt to many tasks, goes from all but the first."""
+    from skeinwork.llm import common
+
+    monkeypatch.setattr(common, "LEAST_CROWD", 20)
+    shared = "\n".join(f"line {i}" for i in range(8))
+    rows = [(i, f"{i}\n{shared}\n{i}") for i in range(60)]
+    assert {r.doc_id: r.text for r in lines.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == deduped(rows)
+
+
 # --- graph and Jaccard
 
 
@@ -258,6 +283,18 @@ def test_components(spark):
     assert got == {i: expected[i] for e in chain for i in e if e[0] != e[1]}
 
 
+def test_components_with_a_hub(spark, monkeypatch):
+    """The edges of hubs are dealt to many tasks."""
+    from skeinwork.llm import common
+
+    monkeypatch.setattr(common, "LEAST_CROWD", 20)
+    monkeypatch.setattr(graph, "LEAST_CROWD", 20)
+    edges = [(400, i) for i in range(1, 90)] + [(100, i) for i in range(101, 190)] + [(0, 89), (189, 190), (190, 191)]
+    got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "test")).collect()}
+    expected = roots(401, edges)
+    assert got == {i: expected[i] for e in edges for i in e}
+
+
 def shingle_sets(rows, k):
     out = {}
     for i, t in rows:
@@ -385,6 +422,28 @@ def test_repeats_clean_and_multibyte(spark):
     assert got[1] == 0 and got[2] == got[3] == len(b[100:700].encode())
 
 
+def test_repeats_of_null_and_repeated_ids(spark):
+    """Every row is a document of its own, whatever its doc_id."""
+    a, b, c = prose(150), prose(150), prose(150)
+    rows = [(1, a), (2, a), (1, b), (None, c), (3, f"{prose(20)} {c}"), (None, prose(150)), (4, b[200:900] + prose(90)), (5, None), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    expected = repeats_of(list(enumerate(t for _, t in rows)), 400)
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.removed(df, null_ids=True).collect())
+    assert got == Counter((i, *expected[k]) for k, (i, _) in enumerate(rows))
+
+
+@pytest.mark.parametrize("most", [3, repeats.MOST])
+def test_repeats_of_a_hot_trigger(spark, monkeypatch, most):
+    """A passage between many different neighbours: its outer triggers have an entry for each document."""
+    from skeinwork.llm import common
+
+    monkeypatch.setattr(common, "LEAST_CROWD", 20)
+    passage, side = prose(30), [prose(8) for _ in range(5)]
+    rows = [(i, f"{prose(i % 7)} {side[i % 5][i % 3 :]} {passage[: 90 + 7 * (i % 11)]}{passage if i % 4 else ''} {prose(10)}") for i in range(90)]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.removed(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 60, 20, most).collect()}
+    assert got == repeats_of(rows, 60)
+
+
 # --- pieces
 
 
