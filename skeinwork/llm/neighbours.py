@@ -2,23 +2,26 @@
 
 Vectors are scaled to length one, so the nearest by angle is the nearest by Euclidean distance.  A fixed Gaussian
 matrix, which is 2-stable, projects them to ``PROJECTED`` dimensions: the squared projected distance of two points is
-their squared distance times a chi-square variable with that many degrees of freedom.  Each block of rows has a kd-tree
-over its projected points.  A query takes the leaves in the order of their projected distance and verifies their points
-by the exact cosine; it stops when a point as near as its k-th best would already have been met with probability
-``SURE``, by the chi-square distribution.  All rows are indexed; recall is measured against brute force in the tests.
+their squared distance times a chi-square variable with that many degrees of freedom.  The projected points are indexed
+by a kd-tree whose upper levels are the cells of ``vectors`` and whose lower ones are made in each part.  A query takes
+cells, and leaves within a part, by their projected distance and verifies their points by the exact cosine; it stops where
+a point as near as its k-th best would already have been met with probability ``SURE``, by the chi-square distribution.
+All rows are indexed; recall is measured against brute force in the tests.  Ties of equal vectors go to the smaller
+vec_id: a box at distance 0 never stops a query.  Nulls and the like are defined in ``vectors``.
 """
 
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 
 from skeinwork.llm.common import Scratch
-from skeinwork.llm.vectors import best, matrix, search
+from skeinwork.llm.vectors import POINTS, Found, Kind, search
 
-PROJECTED, LEAF, SURE, SEED = 8, 32, 0.99, 20240229
+PROJECTED, LEAF, SURE, SEED = POINTS, 32, 0.99, 20240229
 
 
 def chi_square_quantile(p: float, degrees: int) -> float:
@@ -34,6 +37,10 @@ def chi_square_quantile(p: float, degrees: int) -> float:
     return high
 
 
+LIMIT = chi_square_quantile(SURE, PROJECTED)
+
+
+@lru_cache(64)
 def projection(dims: int, m: int = PROJECTED) -> np.ndarray:
     return np.random.default_rng(SEED).standard_normal((dims, m))
 
@@ -59,39 +66,61 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def pack(x: np.ndarray) -> tuple[bytes, bytes]:
-    """The vectors, and the kd-tree over their projections as lengths of leaves and places of rows."""
-    leaves = kd_leaves(unit(x) @ projection(x.shape[1]))
-    return x.tobytes(), np.concatenate([[len(leaves)], [len(v) for v in leaves], *leaves]).astype(np.int32).tobytes()
-
-
-def meet(queries: dict, rows: dict, k: int, m: int = PROJECTED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    (qid, q), (rid, r) = matrix(queries), matrix(rows)
-    q, r = unit(q), unit(r)
-    turn = projection(q.shape[1], m)
-    near, flat = q @ turn, np.frombuffer(rows["extra"], np.int32)
-    ends = np.cumsum(flat[1 : flat[0] + 1])
-    order, starts = flat[flat[0] + 1 :], ends - flat[1 : flat[0] + 1]
-    points, r, rid = (r @ turn)[order], r[order], rid[order]
-    low, high = (np.array([f(points[a:b], axis=0) for a, b in zip(starts, ends, strict=True)]) for f in (np.min, np.max))
-    limit, out = chi_square_quantile(SURE, m), []
-    for i in range(len(q)):
-        gap = np.maximum(np.maximum(low - near[i], near[i] - high), 0)
-        away = (gap * gap).sum(1)
-        seen_ids, seen = np.empty(0, np.int64), np.empty(0)
-        for leaf in np.argsort(away):
-            if len(seen) >= k and away[leaf] >= limit * max(2 - 2 * seen[-1], 0):
-                break
-            own = slice(starts[leaf], ends[leaf])
-            ids, scores = rid[own], r[own] @ q[i]
-            other = ids != qid[i]
-            seen_ids, seen = np.concatenate([seen_ids, ids[other]]), np.concatenate([seen, scores[other]])
-            top = best(seen_ids, seen, k)
-            seen_ids, seen = seen_ids[top], seen[top]
-        out.append((np.full(len(seen), qid[i]), seen_ids, seen))
-    return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in (list(zip(*out, strict=True)) or [[], [], []]))
+class Cosine(Kind):
+    """Nearness by cosine; a vector's points are its projection."""
+
+    zero = False
+
+    def points(self, x: np.ndarray) -> np.ndarray:
+        return unit(x) @ projection(x.shape[1])
+
+    def promise(self, points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Squared projected distances to boxes, negated."""
+        out = np.zeros((len(points), len(low)))
+        for i in range(points.shape[1]):
+            gap = np.maximum(np.maximum(low[:, i] - points[:, i : i + 1], points[:, i : i + 1] - high[:, i]), 0)
+            out -= gap * gap
+        return out
+
+    def allowed(self, promise: np.ndarray, points: np.ndarray, marks: np.ndarray) -> np.ndarray:
+        """The stopping test, with a margin for rounding; boxes at distance 0 always pass."""
+        near = np.where(np.isfinite(marks), np.maximum(2 - 2 * marks, 0), np.inf)
+        return -promise <= LIMIT * near[:, None] + 1e-12
+
+    def block(self, x: np.ndarray) -> tuple:
+        leaves = kd_leaves(points := self.points(x))
+        ends = np.cumsum([len(v) for v in leaves])
+        starts, order = ends - np.array([len(v) for v in leaves]), np.concatenate(leaves)
+        low, high = (f.reduceat(points[order], starts) for f in (np.minimum, np.maximum))
+        return unit(x)[order], order, starts, ends, low, high
+
+    def meet(self, block: tuple, q: np.ndarray, found: Found) -> None:
+        """Leaves by rising distance, 1, 2, 4 and so on at a time, until none passes the stopping test."""
+        r, order, starts, ends, low, high = block
+        points, q = self.points(q), unit(q)
+        promise = self.promise(points, low, high)
+        by = np.argsort(-promise, axis=1, kind="stable")
+        at, step = 0, 1
+        while at < len(starts):
+            leaf = by[:, at : at + step]
+            ok = np.take_along_axis(self.allowed(promise, points, found.marks), leaf, 1)
+            if not ok.any():
+                return
+            who, what = np.nonzero(ok)
+            what = leaf[who, what]
+            sort = np.argsort(what, kind="stable")
+            who, what = who[sort], what[sort]
+            cuts = np.flatnonzero(np.diff(what)) + 1
+            pairs = []
+            for own, one in zip(np.split(who, cuts), what[np.append(0, cuts)], strict=True):
+                score = r[starts[one] : ends[one]] @ q[own].T
+                row, col = np.nonzero(score >= found.marks[own] - 1e-12)
+                pairs.append((own[col], starts[one] + row))
+            who, row = (np.concatenate(x) for x in zip(*pairs, strict=True))
+            found.add(who, order[row], np.einsum("ij,ij->i", q[who], r[row]))
+            at, step = at + step, step * 2
 
 
 def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     """The k nearest of each row whose vec_id is divisible by every: query_id, rank, vec_id, score."""
-    return search(vectors, every, k, pack, lambda q, r: meet(q, r, k), "double", Scratch(vectors.sparkSession, "nearest"), zero=False)
+    return search(vectors, every, k, Cosine(), Scratch(vectors.sparkSession, "nearest"))
