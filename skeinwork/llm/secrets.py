@@ -19,8 +19,10 @@ ignored by scan().
 from __future__ import annotations
 
 import math
+from collections import defaultdict
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skeinwork.llm.common import text_of
@@ -31,25 +33,49 @@ ACCESS = "AKIA[A-Z0-9]{14,}"  # AKIA[A-Z0-9]+ of 18 or more characters
 HEX = "[0-9a-f]{16,}"  # [0-9a-f]+ of 16 or more characters
 KINDS = ["assign", "access", "hex", "markov"]
 
+# Parts of ordinary identifiers, for the labelled sample of them.
+PARTS = """get set is has from to by on parent node element id index value name list item user file path local lib bin src test main data config site packages python json
+http request response handler client server manager factory service model view controller parse build create update delete read write load save cache buffer stream string number
+query table column row key count total size start end first last next previous default version release temp backup log error message event queue worker thread process task job
+state status result input output format type class object function method module import export public private static final abstract internal common utils helper base core""".split()
+
+MADE, PART = 2000, 64
 SHORTEST, LEAST_TOTAL, LEAST_MEAN, SAMPLE_DOCS = 16, 25.0, 0.8, 2000
 LONG = 64
 RUN = f"[A-Za-z0-9+/_=.-]{{{SHORTEST},}}"
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
-def _found(text: Column, pattern: str, kind: int, keep) -> Column:
+def running(values: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """The folds of all beginnings of an array<int>, part by part, so that no long list is copied for each value."""
+
+    def fold(own: Column, start: Column) -> Column:
+        state = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(own, state, lambda s, v: F.struct(step(s["at"], v).alias("at"), F.array_append(s["out"], step(s["at"], v)).alias("out")), lambda s: s["out"])
+
+    def whole(v: Column) -> Column:
+        last = F.greatest(F.floor((F.size(v) - 1) / PART).cast("int"), F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(v, c * PART + 1, F.lit(PART)))
+
+    def joined(parts: Column) -> Column:
+        totals = fold(F.transform(parts, lambda p: F.aggregate(p, F.lit(0), step)), F.lit(0))
+        return F.flatten(F.flatten(F.transform(F.array(totals), lambda t: F.transform(parts, lambda p, i: fold(p, F.coalesce(F.get(t, i - 1), F.lit(0)))))))
+
+    # one-element arrays hold what is used more than once, so that it is computed once
+    return F.flatten(F.transform(F.transform(F.array(values), whole), joined))
+
+
+def _found(text: Column, pattern: str, kind: int, keep: Callable[[Column], Column]) -> Column:
     """The matches that keep() accepts, as spans."""
     parts, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
+    paired = F.arrays_zip(F.slice(parts, 1, F.size(matches)).alias("before"), matches.alias("match"))
 
-    def step(state: Column, both: Column) -> Column:
-        start = state["at"] + F.length(both["before"])
-        end = start + F.length(both["match"])
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(keep(both["match"]), F.array_append(state["spans"], span)).otherwise(state["spans"]).alias("spans"))
+    def spans(both: Column) -> Column:
+        ends = running(F.transform(both, lambda b: F.length(b["before"]) + F.length(b["match"])), lambda x, y: x + y)
+        placed = F.flatten(F.transform(F.array(ends), lambda e: F.transform(both, lambda b, i: F.struct((F.get(e, i) - F.length(b["match"])).alias("start"), F.get(e, i).alias("end"), b["match"].alias("match")))))
+        return F.transform(F.filter(placed, lambda p: keep(p["match"])), lambda p: F.struct(p["start"].alias("start"), F.lit(kind).alias("kind"), p["end"].alias("end")))
 
-    paired = F.arrays_zip(F.slice(parts, 1, F.size(matches)).alias("before"), matches.alias("match"))
-    return F.when(text.rlike(pattern), F.aggregate(paired, empty, step, lambda s: s["spans"])).otherwise(F.array().cast(_SPAN))
+    return F.when(text.rlike(pattern), F.flatten(F.transform(F.array(paired), spans))).otherwise(F.array().cast(_SPAN))
 
 
 def base_spans(text: Column) -> Column:
@@ -71,6 +97,23 @@ def _pairs(words: DataFrame) -> DataFrame:
     return rows.groupBy("label", code(F.col("i")).alias("a"), code(F.col("i") + 1).alias("b")).agg(F.sum(weight.cast("decimal(12,9)")).cast("double").alias("count"))  # sums of decimals do not depend on their order
 
 
+def identifiers(spark: SparkSession, rows: int = MADE) -> DataFrame:
+    """Ordinary identifiers (label 0): camel, snake and kebab case, constants, paths, dates, versions and numbers."""
+    vocabulary = F.array(*map(F.lit, PARTS))
+    pick = lambda k: F.get(vocabulary, F.pmod(F.xxhash64("id", F.lit(k)), F.lit(len(PARTS))).cast("int"))
+    number = lambda k, least, most: (F.pmod(F.xxhash64("id", F.lit(k + 50)), F.lit(most - least + 1)) + least).cast("string")
+    two = lambda k, most: F.lpad(number(k, 0, most), 2, "0")
+    w, title = [pick(k) for k in range(6)], lambda c: F.initcap(c)
+    date = F.concat_ws("-", number(0, 1990, 2035), two(1, 12), two(2, 31))
+    shapes = [
+        F.concat(w[0], title(w[1]), title(w[2]), title(w[3])), F.concat(title(w[0]), title(w[1]), title(w[2]), title(w[4])), F.concat_ws("_", w[0], w[1], w[2], F.concat(F.lit("v"), number(3, 1, 12))), F.concat_ws("_", w[3], w[4], w[5]),
+        F.upper(F.concat_ws("_", w[0], w[2], w[4])), F.concat_ws("-", w[1], w[3], w[5], number(4, 1, 99)), F.concat(F.lit("/"), w[0], F.lit("/"), w[1], number(5, 1, 3), F.lit("."), number(6, 0, 20), F.lit("/"), w[2], F.lit("-"), w[3], F.lit("/"), w[4], F.lit("."), w[5]),
+        F.concat(date, F.lit("T"), two(7, 23), F.lit("-"), two(8, 59), F.lit("-"), two(9, 59), F.lit("Z."), w[0]), F.concat(w[0], F.lit("-"), w[1], F.lit("-"), number(10, 0, 30), F.lit("."), number(11, 0, 30), F.lit("."), number(12, 0, 200), F.lit(".tar.gz")),
+        F.concat(number(13, 1_000_000_000, 1_999_999_999), F.lit("."), number(14, 100_000, 999_999)), F.concat(title(w[2]), title(w[5]), number(15, 1, 9999)), F.concat_ws(".", w[0], w[1], w[2], title(w[3])),
+    ]
+    return spark.range(rows).select(F.lit(0).alias("label"), F.explode(F.array(*shapes)).alias("word"))
+
+
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[float]:
     """The log-likelihood ratio of each pair of character codes, at 128 * first + second."""
     spark = docs.sparkSession
@@ -80,20 +123,27 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[float]:
     value = F.concat(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), F.regexp_extract_all("text", F.lit(HEX), F.lit(0)))
     values = sample.select(F.lit(1).alias("label"), F.explode(F.filter(value, lambda v: F.length(v) >= 12)).alias("word"))
     others = F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), f"{ACCESS}|{HEX}", " ")
-    words = sample.select(F.lit(0).alias("label"), F.explode(F.regexp_extract_all(others, F.lit("[A-Za-z0-9+/_=.-]{2,}"), F.lit(0))).alias("word")).filter(F.col("word").rlike("^[A-Za-z_.-]+$"))
-    counts = {(r.label, r.a, r.b): r["count"] for r in _pairs(made.unionAll(values).unionAll(words)).collect() if r.a < 128 and r.b < 128}
-    # pairs that are rare in a sample are judged by how common their second character is
-    size, weight = 66, 10.0
-    by_first: dict[tuple[int, int], int] = {}
-    by_second: dict[tuple[int, int], int] = {}
+    plain = sample.select(F.lit(0).alias("label"), F.explode(F.regexp_extract_all(others, F.lit("[A-Za-z0-9+/_=.-]{2,}"), F.lit(0))).alias("word")).filter(F.col("word").rlike("^[A-Za-z_.-]+$"))
+    counts = {(r.label, r.a, r.b): r["count"] for r in _pairs(made.unionAll(values).unionAll(plain).unionAll(identifiers(spark))).collect() if r.a < 128 and r.b < 128}
+    return _log_ratios(counts)
+
+
+def _log_ratios(counts: dict[tuple[int, int, int], float]) -> list[float]:
+    """The log-likelihood ratios from counts by label and pair of codes.
+
+    Pairs that are rare in a sample are judged by how often its classes of characters follow each other, and by how
+    common the second character is in its class.
+    """
+    sizes, weight = (26, 26, 10, 6), 50.0
+    kind = lambda c: 0 if 97 <= c <= 122 else 1 if 65 <= c <= 90 else 2 if 48 <= c <= 57 else 3
+    first, second, classes, from_class, to_class = (defaultdict(float) for _ in range(5))
     for (label, a, b), n in counts.items():
-        by_first[label, a] = by_first.get((label, a), 0) + n
-        by_second[label, b] = by_second.get((label, b), 0) + n
-    whole = {k: sum(n for (label, _), n in by_first.items() if label == k) for k in (0, 1)}
+        for table, key in ((first, a), (second, b), (classes, (kind(a), kind(b))), (from_class, kind(a)), (to_class, kind(b))):
+            table[label, key] += n
 
     def likely(k: int, a: int, b: int) -> float:
-        alone = (by_second.get((k, b), 0) + 0.5) / (whole[k] + 0.5 * size)
-        return math.log((counts.get((k, a, b), 0) + weight * alone) / (by_first.get((k, a), 0) + weight))
+        alone = (classes[k, (kind(a), kind(b))] + 1) / (from_class[k, kind(a)] + 4) * (second[k, b] + 0.5) / (to_class[k, kind(b)] + 0.5 * sizes[kind(b)])
+        return math.log((counts.get((k, a, b), 0) + weight * alone) / (first[k, a] + weight))
 
     return [round(likely(1, a, b) - likely(0, a, b), 4) for a in range(128) for b in range(128)]
 
@@ -105,16 +155,26 @@ def _ratio(table: list[float], word: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(word) - 1), F.lit(0.0), lambda s, i: s + F.get(ratios, code(i) * 128 + code(i + 1)))
 
 
-def without_spans(text: Column, base: Column) -> Column:
-    """The text with blanks in place of its base spans, so that all other places stay."""
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+def replaced(text: Column, spans: Column, cover: Callable[[Column, Column], Column]) -> Column:
+    """The text with cover(span, end of all spans before) in place of what each span covers beyond those before."""
+
+    def own(s: Column) -> Column:
+        def whole(ends: Column) -> Column:
+            def one(span: Column, i: Column) -> Column:
+                at = F.coalesce(F.get(ends, i - 1), F.lit(0))
+                return F.concat(F.substring(text, at + 1, F.greatest(span["start"] - at, F.lit(0))), cover(span, at))
+
+            last = F.element_at(ends, -1)
+            return F.concat(F.array_join(F.transform(s, one), ""), F.substring(text, last + 1, F.length(text)))
 
-    def step(s: Column, span: Column) -> Column:
-        own = F.concat(F.substring(text, s["at"] + 1, span["start"] - s["at"]), F.repeat(F.lit(" "), span["end"] - F.greatest(s["at"], span["start"])))
-        return F.struct(F.greatest(s["at"], span["end"]).alias("at"), F.array_append(s["out"], own).alias("out"))
+        return F.element_at(F.transform(F.array(running(F.transform(s, lambda x: x["end"]), lambda x, y: F.greatest(x, y))), whole), 1)
 
-    rest = lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.length(text)))
-    return F.when(F.size(base) > 0, F.aggregate(base, state, step, rest)).otherwise(text)
+    return F.when(F.size(spans) > 0, F.element_at(F.transform(F.array(spans), own), 1)).otherwise(text)
+
+
+def without_spans(text: Column, base: Column) -> Column:
+    """The text with blanks in place of its base spans, so that all other places stay."""
+    return replaced(text, base, lambda span, at: F.repeat(F.lit(" "), F.greatest(span["end"] - F.greatest(at, span["start"]), F.lit(0))))
 
 
 def markov_spans(rest: Column, table: list[float]) -> Column:
@@ -150,15 +210,7 @@ def scan(docs: DataFrame, table: list[float] | None = None) -> DataFrame:
 def redact(docs: DataFrame, table: list[float] | None = None, mark: str = "[secret]") -> DataFrame:
     """The documents with every span, or run of overlapping spans, replaced by a mark; n_chars follows where it is there."""
     found = with_spans(docs, table or train(docs))
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(s: Column, span: Column) -> Column:
-        fresh = span["start"] >= s["at"]
-        own = F.concat(F.substring(F.col("text"), s["at"] + 1, span["start"] - s["at"]), F.lit(mark))
-        return F.struct(F.greatest(s["at"], span["end"]).alias("at"), F.when(fresh, F.array_append(s["out"], own)).otherwise(s["out"]).alias("out"))
-
-    rest = lambda s: F.concat(F.array_join(s["out"], ""), F.substring(F.col("text"), s["at"] + 1, F.length("text")))
-    out = found.withColumn("text", F.when(F.size("__spans") > 0, F.aggregate("__spans", state, step, rest)).otherwise(F.col("text")))
+    out = found.withColumn("text", replaced(F.col("text"), F.col("__spans"), lambda span, at: F.when(span["start"] >= at, mark).otherwise("")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.size("__spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
