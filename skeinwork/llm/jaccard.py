@@ -180,15 +180,15 @@ def tied(ids: np.ndarray, sizes: np.ndarray, vectors: list[np.ndarray], percent:
     """For each document the least id that pairs reach which the bound of their count vectors allows."""
     tree, roots = CountTree(sizes, vectors), Roots(len(ids))
     for i in range(len(ids)):
-        near = tree.after(i, percent)
-        roots.join(i, near)
+        if (roots.of[i + 1 :] != roots.of[i]).any():  # all that follow are tied to it already
+            roots.join(i, tree.after(i, percent))
     out = np.empty(len(ids), np.int64)
     out[tree.order] = roots.least(ids[tree.order])
     return out
 
 
-#: Documents under one digest up to which all digests of a batch are looked at together, pair by pair.
-FEW = 16
+#: A tree of at most LEAF documents is one leaf; the leaves of all such digests of a batch are looked at together.
+FEW = LEAF
 
 
 def tied_few(group: np.ndarray, sizes: np.ndarray, vectors: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -225,6 +225,8 @@ def linked(ids: np.ndarray, sets: list[np.ndarray], percent: int, side: np.ndarr
     side = None if side is None else side[tree.order]
     roots = Roots(len(ids))
     for i in range(len(ids)):
+        if (roots.of[i + 1 :] == roots.of[i]).all():  # all that follow are linked to it already
+            continue
         near = tree.after(i, percent)
         if side is not None:
             near = near[side[near] != side[i]]
@@ -321,7 +323,8 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, weight: int = WEIGHT, m
     member = scratch.keep(own.select("doc_id", "s0", "s1").distinct().join(least, ["s0", "s1"]).select("doc_id", "rep"))
     rows = own.select(F.explode("keys").alias("key"), "n", "doc_id").repartition("key").sortWithinPartitions("key", "n", "doc_id")
     rows = rows.mapInArrow(lambda batches: _shared(batches, percent), "key long, doc_id long").join(member, "doc_id").select("key", F.col("rep").alias("doc_id")).distinct()
-    rows, hot = crowded(scratch.keep(rows), most, scratch)
+    shared = scratch.keep(rows)
+    rows, hot = crowded(shared, most, scratch)
     rows = rows.join(own.select("doc_id", "n", "vector").dropDuplicates(["doc_id"]), "doc_id").select("key", "doc_id", "n", "vector").repartition("key").sortWithinPartitions("key", "doc_id")
 
     def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,7 +360,9 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, weight: int = WEIGHT, m
         return _pairs(found())
 
     ties = scratch.keep(rows.mapInArrow(tie, "a long, b long").unionAll(hot).distinct())
+    scratch.drop(shared)
     near = scratch.keep(components(ties, scratch))
+    scratch.drop(ties)
 
     near = near.join(own.select(F.col("doc_id").alias("node"), "n").distinct(), "node")
     starts = F.array(*[F.lit(int(x)).cast("long") for x in percent_bands(percent)])
@@ -400,7 +405,8 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, weight: int = WEIGHT, m
 
     work = placed.join(sets, "node").select("component", "task", "node", "side", "shingles").repartition("task").sortWithinPartitions("component", "task", "node")
     links = scratch.keep(work.mapInArrow(verify, "a long, b long").distinct())
-    final = components(links, scratch)
+    final = scratch.keep(components(links, scratch))
+    scratch.drop(links)
     out = dealt.select("doc_id", "n").join(member.distinct(), "doc_id", "left").join(final.withColumnRenamed("node", "rep"), "rep", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
 
