@@ -11,17 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skeinwork.llm.common import LEAST_CROWD, Scratch, crowded_keys, join_spread
+from skeinwork.llm.common import Scratch, crowded_keys, join_spread
 
 
-def _moved(edges: DataFrame, least: DataFrame, total: int, scratch: Scratch, and_least: bool = False) -> DataFrame:
-    """For each edge u, v the edge from v to the least node m that u knows, and with and_least that from u to m."""
-    known = scratch.keep(least) if total > LEAST_CROWD else least
-    out = join_spread(edges, known.drop("degree"), "u", crowded_keys(known, "u", "degree", total))
-    out = out.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-    out = scratch.keep((out.unionAll(known.select("u", F.col("m").alias("v"))) if and_least else out).distinct())
-    scratch.drop(known)
-    return out
+def _moved(edges: DataFrame, least: DataFrame, total: int) -> DataFrame:
+    """For each edge u, v the edge from v to the least node m that u knows."""
+    out = join_spread(edges, least.drop("degree"), "u", crowded_keys(least, "u", "degree", total))
+    return out.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
 
 
 def components(edges: DataFrame, scratch: Scratch, limit: int = 60) -> DataFrame:
@@ -31,11 +27,11 @@ def components(edges: DataFrame, scratch: Scratch, limit: int = 60) -> DataFrame
     for _ in range(limit):
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         up = F.col("v") > F.col("u")
-        large = _moved(both.filter(up), both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count_if(up).alias("degree")), n, scratch)
-        after = _moved(large, large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree")), n, scratch, and_least=True)
+        large = _moved(both.filter(up), both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count_if(up).alias("degree")), n)
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
+        after = scratch.keep(_moved(large, low, n).unionAll(low.select("u", F.col("m").alias("v"))).distinct())
         row = after.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         scratch.drop(e)
-        scratch.drop(large)
         e, n, now = after, row.n, (row.n, row.s)
         if now == before:
             break
