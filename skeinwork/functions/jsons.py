@@ -134,17 +134,21 @@ def count_where(doc: Column, kind: str, predicate: Callable[[Column], Column]) -
 # --- documents, parsed
 
 
+# made once: json.loads and json.dumps make a new one for each call with options
+_decode, _encode = json.JSONDecoder(parse_float=Decimal).decode, json.JSONEncoder(ensure_ascii=False).encode
+
+
 def load(text: str) -> Any:
-    return json.loads(text, parse_float=Decimal)
+    return _decode(text)
 
 
 def dump(x: Any) -> str:
     """Compact JSON text with the digits that were read."""
     if isinstance(x, dict):
-        return "{" + ", ".join(f"{json.dumps(k, ensure_ascii=False)}: {dump(v)}" for k, v in x.items()) + "}"
+        return "{" + ", ".join([f"{_encode(k)}: {dump(v)}" for k, v in x.items()]) + "}"
     if isinstance(x, list):
         return "[" + ", ".join(map(dump, x)) + "]"
-    return str(x) if isinstance(x, Decimal) else json.dumps(x, ensure_ascii=False)
+    return str(x) if type(x) in (Decimal, int) else _encode(x)
 
 
 def edit(doc: Any, steps: Sequence[Step], mode: str, new: Any = None) -> Any:
@@ -198,33 +202,70 @@ def depth(x: Any) -> int:
     return 1 + max(map(depth, inner), default=0)
 
 
-def _edited(doc: Column, path: str, mode: str, new: Column | None) -> Column:
-    steps = parse_path(path)
+#: A change of a document: set, replace or remove, the path, and the new value (None for remove).
+Change = tuple[str, str, Column | None]
+
+
+def _fresh(x: Any) -> Any:
+    """A copy whose containers are new."""
+    return {k: _fresh(v) for k, v in x.items()} if isinstance(x, dict) else [_fresh(v) for v in x] if isinstance(x, list) else x
+
 
-    @F.pandas_udf(T.StringType())
-    def run(docs: pd.Series, values: pd.Series) -> pd.Series:
-        return pd.Series([None if d is None else dump(edit(load(d), steps, mode, load(v) if v is not None else None)) for d, v in zip(docs, values, strict=True)], dtype=object)
+def edits(doc: Column, **versions: Sequence[Change]) -> Column:
+    """A struct with a version of the document for each list of changes, made one after the other; each document is parsed once."""
+    plans, values = [], [F.lit(None).cast("string")]
+    for changes in versions.values():
+        plan = []
+        for mode, path, new in changes:
+            plan.append((parse_path(path), mode, len(values) if new is not None else 0))
+            if new is not None:
+                values.append(literal(new))
+        plans.append(plan)
+    names = list(versions)
 
-    return run(doc, literal(new) if new is not None else F.lit(None).cast("string"))
+    @F.pandas_udf(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    def run(docs: pd.Series, news: pd.Series) -> pd.DataFrame:
+        out: list[list[str | None]] = []
+        known: dict[tuple, list[str | None]] = {}  # equal documents of a batch with equal values are edited once
+        for text, given in zip(docs, news, strict=True):
+            if text is None:
+                out.append([None] * len(plans))
+                continue
+            if (row := known.get((text, *given))) is not None:
+                out.append(row)
+                continue
+            parsed, row = load(text), []
+            for k, plan in enumerate(plans):
+                x = parsed if k == len(plans) - 1 else _fresh(parsed)
+                for steps, mode, at in plan:
+                    x = edit(x, steps, mode, load(given[at]) if at and given[at] is not None else None)
+                row.append(dump(x))
+            known[text, *given] = row
+            out.append(row)
+        return pd.DataFrame(out, columns=names, dtype=object)
+
+    return run(doc, F.array(*values))
+
+
+def _edited(doc: Column, *changes: Change) -> Column:
+    return edits(doc, out=changes)["out"]
 
 
 def set_value(doc: Column, path: str, new: Column) -> Column:
-    return _edited(doc, path, "set", new)
+    return _edited(doc, ("set", path, new))
 
 
 def replace_value(doc: Column, path: str, new: Column) -> Column:
-    return _edited(doc, path, "replace", new)
+    return _edited(doc, ("replace", path, new))
 
 
 def remove_value(doc: Column, path: str) -> Column:
-    return _edited(doc, path, "remove", None)
+    return _edited(doc, ("remove", path, None))
 
 
 def set_many(doc: Column, changes: dict[str, Column]) -> Column:
     """A partial update of several paths, one after the other."""
-    for path, new in changes.items():
-        doc = set_value(doc, path, new)
-    return doc
+    return _edited(doc, *(("set", path, new) for path, new in changes.items()))
 
 
 @F.pandas_udf(T.BooleanType())

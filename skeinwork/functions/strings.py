@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -217,10 +218,24 @@ def match_boolean(x: Column, query: str) -> Column:
 
     Without a required part one of the optional parts must be there.
     """
-    words, flat = terms(x), F.concat(F.lit(" "), F.array_join(F.filter(F.split(F.lower(x), r"[^\p{L}\p{N}_]+"), lambda w: w != ""), " "), F.lit(" "))
+    parts = parse_boolean(query)
+    some = any(sign == "+" for sign, *_ in parts)
+    lower = F.lower(x)
+    # a text that lacks a required word or a phrase's first one altogether is not cut into words
+    likely = F.lit(True)
+    for sign, text, phrase, _ in parts:
+        if sign == "+" and (first := re.search(r"\w+", text) if phrase else re.fullmatch(r"\w+", text)):
+            likely = likely & F.contains(lower, F.lit(first[0]))
+    # one-element arrays hold the words, so that they are made once
+    found = F.transform(F.array(F.filter(F.split(lower, r"[^\p{L}\p{N}_]+"), lambda w: w != "")), lambda w: _meets(w, parts, some))
+    return F.when(x.isNotNull(), likely & F.element_at(found, 1))
+
+
+def _meets(words: Column, parts: list[tuple[str, str, bool, bool]], some: bool) -> Column:
+    """Whether the words of a text, in their order, meet the parts of a query; some tells whether any part is required."""
+    flat = F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
     required, optional, excluded = F.lit(True), F.lit(False), F.lit(False)
-    some = False
-    for sign, text, phrase, prefix in parse_boolean(query):
+    for sign, text, phrase, prefix in parts:
         if phrase:
             met = F.contains(flat, F.concat(F.lit(" "), F.array_join(F.filter(F.split(F.lit(text), r"[^\p{L}\p{N}_]+"), lambda w: w != ""), " "), F.lit(" ")))
         elif prefix:
@@ -228,7 +243,7 @@ def match_boolean(x: Column, query: str) -> Column:
         else:
             met = F.array_contains(words, F.lit(text))
         if sign == "+":
-            required, some = required & met, True
+            required = required & met
         elif sign == "-":
             excluded = excluded | met
         else:

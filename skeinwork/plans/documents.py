@@ -92,9 +92,13 @@ def json_equality(c: Catalog) -> DataFrame:
     """select event_id, '{"k": ' || k || ', "x": 5}' s, props r0, '{"k": "' || event_type || '"}' r, '{}' d, '{"k": 0, "y": [1]}' m from (select *, props ->> '$.k' k from events)""",
 )
 def json_set_replace_remove(c: Catalog) -> DataFrame:
-    p = F.col("props")
-    many = J.set_many(p, {"$.k": F.lit(0), "$.y": F.array(F.lit(1))})
-    return c.scan("events").select("event_id", J.set_value(p, "$.x", F.lit(5)).alias("s"), J.replace_value(p, "$.x", F.lit(5)).alias("r0"), J.replace_value(p, "$.k", F.col("event_type")).alias("r"), J.remove_value(p, "$.k").alias("d"), many.alias("m"))
+    five, kind = F.lit(5), F.col("event_type")
+    made = J.edits(
+        F.col("props"),
+        s=[("set", "$.x", five)], r0=[("replace", "$.x", five)], r=[("replace", "$.k", kind)], d=[("remove", "$.k", None)],
+        m=[("set", "$.k", F.lit(0)), ("set", "$.y", F.array(F.lit(1)))],
+    )
+    return c.scan("events").select("event_id", made.alias("made")).select("event_id", "made.*")
 
 
 @query("N6 N10", f"select event_id, case when event_id % 4 = 3 then 1 else 2 end::int a, 2::int o, (props ->> '$.k')::int = 7 has, case when event_id % 4 = 3 then false else true end two from events")
