@@ -339,7 +339,6 @@ def test_components_with_a_hub(spark, monkeypatch):
     from skeinwork.llm import common
 
     monkeypatch.setattr(common, "LEAST_CROWD", 20)
-    monkeypatch.setattr(graph, "LEAST_CROWD", 20)
     edges = [(400, i) for i in range(1, 90)] + [(100, i) for i in range(101, 190)] + [(0, 89), (189, 190), (190, 191)]
     got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "test")).collect()}
     expected = roots(401, edges)
