@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from skeinwork.errors import Unsupported
 
@@ -16,14 +17,17 @@ def insert(df: DataFrame, path: str, max_rows_per_file: int = 0) -> None:
 def with_keys(df: DataFrame, key: str, start: int = 1) -> DataFrame:
     """Dense keys from start on, in the order of partitions, without moving all rows to one task.
 
-    Rows are numbered within their partition, and the counts of the partitions before are added.
+    Rows are numbered within their partition, and the counts of the partitions before are added.  Where a checkpoint
+    folder is set the numbered rows are written there first, so that counts and rows are of one evaluation.
     """
     part = df.withColumn("_row", F.monotonically_increasing_id())
+    if df.sparkSession.conf.get("spark.checkpoint.dir", None):
+        part = part.checkpoint()
     block, place = F.shiftright("_row", 33), F.col("_row").bitwiseAND((1 << 33) - 1)
     part = part.withColumns({"_block": block, "_place": place})
-    sizes = part.groupBy("_block").count()
-    before = sizes.alias("a").join(sizes.alias("b"), F.col("b._block") < F.col("a._block"), "left").groupBy("a._block").agg(F.coalesce(F.sum("b.count"), F.lit(0)).alias("_before"))
-    return part.join(before, "_block").select((F.col("_place") + F.col("_before") + start).alias(key), *df.columns)
+    before = F.sum("count").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))  # over a row for each partition
+    sizes = part.groupBy("_block").count().select("_block", F.coalesce(before, F.lit(0)).alias("_before"))
+    return part.join(sizes, "_block").select((F.col("_place") + F.col("_before") + start).alias(key), *df.columns)
 
 
 def hi_lo(df: DataFrame, key: str, block: int, high: int) -> DataFrame:
