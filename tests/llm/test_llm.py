@@ -194,7 +194,7 @@ def test_markov_models_on_held_out_strings(spark, docs):
 HELD_OUT = """getElementByIdFromParentNode /usr/local/lib/python3.13/site-packages/numpy some_long_snake_case_identifier_v2 2024-01-01T00-00-00Z.log.gz AbstractSingletonProxyFactoryBean
 MAXIMUM_RETRY_ATTEMPTS_EXCEEDED customer-billing-address-line-2 org.apache.commons.lang3.StringUtils spring-boot-starter-webflux-3.2.1.jar /var/log/nginx/access.log.2024-03-11.gz useEffectWithDeepComparison
 calculateMonthlyInterestRate kubernetes-deployment-manifest.yaml test_transaction_rollback_on_failure ThreadPoolExecutorConfiguration IMG_20230815_142233.jpeg com.example.android.architecture.blueprints
-invoice_2023_q4_final_v3.xlsx linux-image-5.15.0-91-generic GL_COLOR_ATTACHMENT0_EXT WindowsUpdateMedicService x86_64-unknown-linux-gnu ../../node_modules/react-dom/cjs/react-dom.development.js
+invoice_2023_q4_final_v3.xlsx linux-image-5.15.0-91-generic GL_COLOR_ATTACHMENT0_EXT _ZNSt6vectorIiSaIiEE9push_backEOi WindowsUpdateMedicService x86_64-unknown-linux-gnu ../../node_modules/react-dom/cjs/react-dom.development.js
 quarterly_revenue_by_region_2022 2023-11-05T14-22-31.123Z hyperparameterOptimizationLoop LocalDateTimeDeserializer application/vnd.openxmlformats text_encoder.transformer.layers.11.attention UserAuthenticationMiddleware
 1699999999.123456 background-image-gradient-overlay squareRootOfNegativeNumber fontAwesomeWebfont.woff2 DeviceOrientationPermissionStatus chromium-browser-stable-120.0.6099.109 mountain_landscape_1920x1080.png""".split()
 
