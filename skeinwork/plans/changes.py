@@ -11,7 +11,7 @@ from skeinwork.operators import dml as X
 from skeinwork.operators import temporal as T
 from skeinwork.plans.registry import query
 from skeinwork.sources import sinks
-from skeinwork.sources.catalog import Catalog
+from skeinwork.sources.catalog import Catalog, raw_sql
 
 A, B = datetime(1996, 1, 1), datetime(1997, 6, 1)
 _VERSIONS = """(select o_orderkey, o_custkey, o_totalprice, o_orderdate valid_from,
@@ -119,7 +119,7 @@ def without_overlaps(c: Catalog) -> DataFrame:
     return X.overlaps(rows, ["o_custkey"], "s", "e", ["o_orderkey"]).select("o_orderkey")
 
 
-@query("X1 X6 X12", "select o_orderkey, case when c_mktsegment = 'BUILDING' then o_totalprice + 1 else o_totalprice end o_totalprice from orders left join customer on c_custkey = o_custkey")
+@query("X1 X6", "select o_orderkey, case when c_mktsegment = 'BUILDING' then o_totalprice + 1 else o_totalprice end o_totalprice from orders left join customer on c_custkey = o_custkey")
 def exec_update_join(c: Catalog) -> DataFrame:
     """An update from a joined relation."""
     building = c.scan("customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
@@ -158,10 +158,48 @@ def save_changes_versioned(c: Catalog) -> DataFrame:
     return X.save_changes(rows, updates.unionAll(gone).unionAll(added), ["n_nationkey"], "v")[0]
 
 
-@query("X10 S14 S15", "select count(*) n, 26::bigint low, (25 + count(*))::bigint high, count(*) distinct_keys, true unique_blocks from customer")
+@query("X10", "select count(*) n, 26::bigint low, (25 + count(*))::bigint high, count(*) distinct_keys, true unique_blocks from customer")
 def generated_keys(c: Catalog) -> DataFrame:
     """Dense keys after the largest one, and keys from leased blocks that never collide."""
     names = c.scan("customer").select("c_name").repartition(7)
     dense = sinks.with_keys(names, "id", 26).agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"), F.count_distinct("id").alias("distinct_keys"))
     leased = sinks.hi_lo(names, "id", 32, 5).agg((F.count_distinct("id") == F.count("*")).alias("unique_blocks"))
     return dense.join(F.broadcast(leased))
+
+
+@query(
+    "X12 X1",
+    "with large as (select o_custkey, max(o_totalprice) top from orders where o_orderstatus = 'F' group by 1 having count(*) > 4) select c_custkey, case when top is null then c_acctbal else c_acctbal + top end c_acctbal from customer left join large on o_custkey = c_custkey",
+)
+def exec_update_cte(c: Catalog) -> DataFrame:
+    """An update whose source is a CTE."""
+    text = "with large as (select o_custkey, max(o_totalprice) top from {orders} where o_orderstatus = :status group by 1 having count(*) > 4) select o_custkey c_custkey, top from large"
+    large = raw_sql(c.spark, text, {"orders": c.scan("orders")}, status="F")
+    return X.update_from(c.scan("customer").select("c_custkey", "c_acctbal"), large, ["c_custkey"], {"c_acctbal": F.col("t.c_acctbal") + F.col("s.top")})
+
+
+@query("S14 S16", "select c_custkey, c_acctbal, true as within_cap from customer where c_acctbal < 0 or c_acctbal > 5000")
+def insert_rows(c: Catalog) -> DataFrame:
+    """Two inserts into one table, with a cap on rows per file, read back with whether each file keeps to the cap."""
+    path, rows = sinks.new_table(c.spark, "inserted"), c.scan("customer").select("c_custkey", "c_acctbal")
+    for part in ("c_acctbal < 0", "c_acctbal > 5000"):
+        sinks.insert(rows.filter(part), path, max_rows_per_file=20_000)
+    inserted = c.spark.read.schema(rows.schema).parquet(path).withColumn("file", F.col("_metadata.file_path"))
+    sizes = inserted.groupBy("file").agg((F.count("*") <= 20_000).alias("within_cap"))
+    return inserted.join(sizes, "file").select("c_custkey", "c_acctbal", "within_cap")
+
+
+@query("S15 X10", "select 1000000 + row_number() over (order by c_custkey) id, c_name from customer where c_custkey % 3 = 0")
+def insert_returning_keys(c: Catalog) -> DataFrame:
+    """An insert that returns the rows it wrote with their generated keys, which follow an order."""
+    rows = c.scan("customer").filter("c_custkey % 3 = 0").orderBy("c_custkey").select("c_name")
+    return sinks.insert_returning(rows, sinks.new_table(c.spark, "returned"), "id", 1_000_001)
+
+
+@query("S12 S17", "select n_nationkey, case when n_regionkey = 2 then upper(n_name) || '!' else n_name end n_name from nation where n_nationkey in (select c_nationkey from customer where c_acctbal > 5000)")
+def procedure_calls(c: Catalog) -> DataFrame:
+    """A procedure that returns rows, composed further, and one that returns a changed relation."""
+    own = c.with_procedure("customers_above", lambda k, least: k.scan("customer").filter(F.col("c_acctbal") > least))
+    own = own.with_procedure("rename", lambda k, region: X.update(k.scan("nation"), {"n_name": F.concat(F.upper("n_name"), F.lit("!"))}, F.col("n_regionkey") == region))
+    named = own.call("rename", region=2)
+    return named.join(own.call("customers_above", least=5000), F.col("c_nationkey") == F.col("n_nationkey"), "left_semi").select("n_nationkey", "n_name")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from skeinwork.functions import logic
+from skeinwork.functions.builders import Builders
 from skeinwork.operators import relational as R
 from skeinwork.plans.registry import query
 from skeinwork.sources.catalog import Catalog, raw_sql, values
@@ -119,7 +120,7 @@ def scalar_subquery_projection(c: Catalog) -> DataFrame:
 
 
 @query(
-    "J14 J15",
+    "J14",
     "select c_custkey, coalesce(string_agg(o_orderkey::varchar, ',' order by o_orderdate, o_orderkey) filter (o_orderstatus <> 'P'), '') orders from customer left join orders on o_custkey = c_custkey group by c_custkey",
 )
 def include_orders_collection(c: Catalog) -> DataFrame:
@@ -128,6 +129,18 @@ def include_orders_collection(c: Catalog) -> DataFrame:
     return out.select("c_custkey", F.array_join(F.col("orders").cast("array<string>"), ",").alias("orders"))
 
 
+@query(
+    "J15",
+    "select 'customer' kind, c_custkey id, c_custkey parent from customer where c_acctbal > 5000 union all select 'orders', o_orderkey, o_custkey from orders join customer on c_custkey = o_custkey where c_acctbal > 5000 and o_orderstatus <> 'P'",
+)
+def include_orders_split(c: Catalog) -> DataFrame:
+    """Parents and a filtered child collection as two queries, shown one after the other."""
+    parents = c.scan("customer").filter("c_acctbal > 5000")
+    children = c.split(parents, "customer", "orders", F.col("o_orderstatus") != "P")
+    shown = parents.select(F.lit("customer").alias("kind"), F.col("c_custkey").alias("id"), F.col("c_custkey").alias("parent"))
+    return shown.unionAll(children.select(F.lit("orders"), "o_orderkey", "o_custkey"))
+
+
 @query("J13", "select a.n_nationkey a, b.n_nationkey b from nation a join nation b on a.n_regionkey = b.n_regionkey and a.n_nationkey < b.n_nationkey")
 def self_join(c: Catalog) -> DataFrame:
     a, b = c.scan("nation").alias("a"), c.scan("nation").alias("b")
@@ -408,3 +421,36 @@ def window_frames_extension(c: Catalog) -> DataFrame:
 def cube_extension(c: Catalog) -> DataFrame:
     """Extension: a cube with a deviation."""
     return c.scan("lineitem").cube("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.round(F.stddev_samp("l_quantity"), 6).alias("spread"))
+
+
+@query(
+    "U7 J14",
+    """select 'n' || n_nationkey id, coalesce(string_agg(s_suppkey::varchar, ',' order by s_suppkey), '') items from nation left join supplier on s_nationkey = n_nationkey group by n_nationkey
+    union all select 'c' || c_custkey, coalesce(string_agg(o_orderkey::varchar, ',' order by o_orderkey), '') from customer left join orders on o_custkey = c_custkey group by c_custkey""",
+)
+def concat_with_collections(c: Catalog) -> DataFrame:
+    """Concat under a collection projection, whose branches read different tables."""
+    shown = lambda df, kind, key: df.select(F.concat(F.lit(kind), key).alias("id"), F.array_join(F.col("items").cast("array<string>"), ",").alias("items"))
+    nations = c.gather(c.scan("nation"), "nation", "supplier", "items", F.col("s_suppkey"), ["s_suppkey"])
+    customers = c.gather(c.scan("customer"), "customer", "orders", "items", F.col("o_orderkey"), ["o_orderkey"])
+    return R.concat_distinct_sources([("nation", shown(nations, "n", "n_nationkey")), ("customer", shown(customers, "c", "c_custkey"))])
+
+
+@query(
+    "K9",
+    """select table_name, column_name, case data_type when 'INTEGER' then 'int' when 'VARCHAR' then 'string' when 'TIMESTAMP' then 'timestamp_ntz' else lower(data_type) end data_type
+    from information_schema.columns where table_name in ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem')""",
+)
+def discovered_schema(c: Catalog) -> DataFrame:
+    """Names and types of the columns of the relational tables."""
+    found = c.discover().filter(F.col("table_name").isin("region", "nation", "customer", "supplier", "part", "orders", "lineitem"))
+    return found.select("table_name", "column_name", "data_type")
+
+
+@query("K4", "select n_nationkey, n_name || '/' || n_regionkey || '/' || length(n_name) label from nation")
+def registered_builders(c: Catalog) -> DataFrame:
+    """Column builders that a user registers by name, one made of another."""
+    own = Builders()
+    own.register("labelled", lambda name, *parts: F.concat_ws("/", name, *parts))
+    own.register("measured", lambda name, *parts: own("labelled", name, *parts, F.length(name)))
+    return c.scan("nation").select("n_nationkey", own("measured", F.col("n_name"), F.col("n_regionkey")).alias("label"))

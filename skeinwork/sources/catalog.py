@@ -60,6 +60,7 @@ class Catalog:
         self.spark, self.folder, self.tables = spark, folder, tables
         self.filters: dict[str, Callable[[DataFrame], Column]] = {}
         self.views: dict[str, Callable[[Catalog], DataFrame]] = {}
+        self.procedures: dict[str, Callable[..., DataFrame]] = {}
 
     def scan(self, name: str, ignore_filters: bool = False) -> DataFrame:
         """A table or view by name."""
@@ -68,18 +69,35 @@ class Catalog:
         df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return df.filter(self.filters[name](df)) if name in self.filters and not ignore_filters else df
 
+    def _copy(self) -> Catalog:
+        out = Catalog(self.spark, self.folder, self.tables)
+        out.filters, out.views, out.procedures = dict(self.filters), dict(self.views), dict(self.procedures)
+        return out
+
     def with_filter(self, name: str, predicate: Callable[[DataFrame], Column]) -> Catalog:
         """A catalog in which scans of a table keep only rows that meet the predicate (a tenant, rows not deleted)."""
-        out = Catalog(self.spark, self.folder, self.tables)
-        out.filters, out.views = {**self.filters, name: predicate}, dict(self.views)
+        out = self._copy()
+        out.filters[name] = predicate
         return out
 
     def with_view(self, name: str, view: Callable[[Catalog], DataFrame]) -> Catalog:
         """A catalog with a keyless relation computed from others."""
-        out = Catalog(self.spark, self.folder, self.tables)
-        out.filters, out.views = dict(self.filters), {**self.views, name: view}
+        out = self._copy()
+        out.views[name] = view
+        return out
+
+    def with_procedure(self, name: str, procedure: Callable[..., DataFrame]) -> Catalog:
+        """A catalog with a procedure: a callable of the catalog and named arguments that returns rows or a changed relation."""
+        out = self._copy()
+        out.procedures[name] = procedure
         return out
 
+    def call(self, name: str, **args: object) -> DataFrame:
+        """The rows of a procedure; they have no key and can be composed further."""
+        if name not in self.procedures:
+            raise Unsupported(f"there is no procedure {name}")
+        return self.procedures[name](self, **args)
+
     def follow(self, df: DataFrame, table: str, link_to: str, optional: bool = False) -> DataFrame:
         """Joins the row that a foreign key of table names; optional keeps rows without one."""
         link = next((x for x in self.tables[table].links if x.table == link_to), None)
@@ -103,6 +121,19 @@ class Catalog:
         kind = out.schema[name].dataType
         return out.withColumn(name, F.coalesce(name, F.array().cast(kind)))
 
+    def split(self, df: DataFrame, table: str, child: str, where: Column | None = None) -> DataFrame:
+        """The child rows of the rows of df as a query of their own, instead of one join that repeats the parents.
+
+        Both queries read the same files; the parents are reduced to their keys, so the semi join moves little.
+        """
+        link = next((x for x in self.tables[child].links if x.table == table), None)
+        if link is None:
+            raise Unsupported(f"{child} has no link to {table}")
+        rows = self.scan(child)
+        rows = rows.filter(where) if where is not None else rows
+        keys = df.select(*(F.col(k).alias(f"_{k}") for k in link.target))
+        return rows.join(keys, [F.col(a) == F.col(f"_{b}") for a, b in zip(link.columns, link.target, strict=True)], "left_semi")
+
     def register(self, names: Iterable[str] | None = None) -> None:
         """Temporary views for raw SQL."""
         for name in names or [*self.tables, *self.views]:

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from skeinwork.errors import Unsupported
 
 
+def new_table(spark: SparkSession, name: str) -> str:
+    """A path for a new table in the folder that driver and executors share: spark.checkpoint.dir, or else the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
 def insert(df: DataFrame, path: str, max_rows_per_file: int = 0) -> None:
     """Appends rows to a Parquet table; a cap on rows per file stands for the batch caps of row stores."""
     df.write.mode("append").option("maxRecordsPerFile", max_rows_per_file).parquet(path)
