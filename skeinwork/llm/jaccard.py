@@ -14,7 +14,7 @@ with a number of parts that follows from its band of sizes (and those of all ban
 them), and no linked pair is missed.  There are some parts more, so that an empty part need not be dealt out, unless a document
 has more empty ones than were added; then it is dealt out under them too.
 
-Documents under one digest, their exact copies left out, are joined by an R-tree over their count vectors; those that the
+Documents under one digest, their exact copies left out and only one digest kept for each set of them, are joined by an R-tree over their count vectors; those that the
 bound leaves together are tied.  (Beyond ``most`` documents under one digest all are tied to the least, by a grouped
 minimum and a join; the vectors of such documents go to no task.)  The connected
 sets of the ties hold all linked pairs.  A connected set is verified in one task, by an R-tree again; one with more than
@@ -300,6 +300,18 @@ def crowded(rows: DataFrame, most: int, scratch: Scratch) -> tuple[DataFrame, Da
     return rows.join(large, "key", "left_anti"), rows.join(large, "key").select(F.col("doc_id").alias("a"), F.col("least").alias("b")).filter("a <> b")
 
 
+def unlike(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """Of distinct rows (key, doc_id) those under which several documents meet, of the least key for each set of documents.
+
+    Keys with the same documents give the same ties, so one of them is enough; a key with one document gives none.  Sets
+    are told apart by their number of documents, their least one and 128 bits of hashes.
+    """
+    mark = lambda *salt: F.bit_xor(F.xxhash64("doc_id", *salt))
+    keys = rows.groupBy("key").agg(F.count("*").alias("times"), F.min("doc_id").alias("least"), mark().alias("m0"), mark(F.lit(1)).alias("m1"))
+    keys = scratch.keep(keys.filter("times > 1").groupBy("times", "least", "m0", "m1").agg(F.min("key").alias("key")).select("key"))
+    return rows.join(keys, "key", "left_semi")
+
+
 def join(docs: DataFrame, k: int = 5, percent: int = 80, weight: int = WEIGHT, most: int = MOST) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     scratch = Scratch(docs.sparkSession, "jaccard")
@@ -325,6 +337,7 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, weight: int = WEIGHT, m
     rows = rows.mapInArrow(lambda batches: _shared(batches, percent), "key long, doc_id long").join(member, "doc_id").select("key", F.col("rep").alias("doc_id")).distinct()
     shared = scratch.keep(rows)
     rows, hot = crowded(shared, most, scratch)
+    rows = unlike(rows, scratch)
     rows = rows.join(own.select("doc_id", "n", "vector").dropDuplicates(["doc_id"]), "doc_id").select("key", "doc_id", "n", "vector").repartition("key").sortWithinPartitions("key", "doc_id")
 
     def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
