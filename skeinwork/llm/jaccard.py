@@ -14,8 +14,8 @@ with a number of parts that follows from its band of sizes (and those of all ban
 them), and no linked pair is missed.  There are some parts more, so that an empty part need not be dealt out, unless a document
 has more empty ones than were added; then it is dealt out under them too.
 
-Documents under one digest, their exact copies left out and only one digest kept for each set of them, are joined by an R-tree over their count vectors; those that the
-bound leaves together are tied.  (Beyond ``most`` documents under one digest all are tied to the least, by a grouped
+Documents under one digest, their exact copies left out, are joined by an R-tree over their count vectors; those that the
+bound leaves together are tied.  Of the digests with the same documents one is looked at.  (Beyond ``most`` documents under one digest all are tied to the least, by a grouped
 minimum and a join; the vectors of such documents go to no task.)  The connected
 sets of the ties hold all linked pairs.  A connected set is verified in one task, by an R-tree again; one with more than
 ``weight`` shingles is dealt into blocks by size band and hash, and each pair of blocks that can link is a task.
@@ -140,21 +140,23 @@ class CountTree:
         self.least_size = self.sizes[self.starts]
         self.upper = np.maximum.reduceat(self.most, np.arange(0, len(self.starts), LEAF))
 
-    def after(self, i: int, percent: int) -> np.ndarray:
-        """Places j > i, in the order of size, whose bounds allow a link with i."""
+    def after(self, i: int, percent: int, wanted: np.ndarray) -> np.ndarray:
+        """Wanted places j > i, in the order of size, whose bounds allow a link with i."""
         end = int(np.searchsorted(self.sizes, self.sizes[i] * 100 // percent, side="right"))
-        if end <= i + 1:
-            return np.empty(0, np.int64)
-        first, last = i // LEAF, (end - 1) // LEAF + 1
-        leaves = np.arange(first, last)
-        if last - first > LEAF:  # first the upper nodes
-            top = np.arange(first // LEAF, (last - 1) // LEAF + 1)
+        near = i + 1 + np.flatnonzero(wanted[i + 1 : end])
+        if not len(near):
+            return near
+        of = near // LEAF
+        leaves = of[np.append(True, of[1:] != of[:-1])]
+        if len(leaves) > LEAF:  # first the upper nodes
+            top = np.arange(leaves[0] // LEAF, leaves[-1] // LEAF + 1)
             ok = np.minimum(self.points[i], self.upper[top]).sum(1) * (100 + percent) >= percent * 2 * self.sizes[i]
             leaves = leaves[ok[leaves // LEAF - top[0]]]
         bound = np.minimum(self.points[i], self.most[leaves]).sum(1)
         leaves = leaves[bound * (100 + percent) >= percent * (self.sizes[i] + np.maximum(self.least_size[leaves], self.sizes[i]))]
-        near = (leaves[:, None] * LEAF + np.arange(LEAF)).ravel()
-        near = near[(near > i) & (near < end)]
+        stays = np.zeros(of[-1] - of[0] + 1, bool)
+        stays[leaves - of[0]] = True
+        near = near[stays[of - of[0]]]
         bound = np.minimum(self.points[i], self.points[near]).sum(1)
         return near[bound * (100 + percent) >= percent * (self.sizes[i] + self.sizes[near])]
 
@@ -166,9 +168,10 @@ class Roots:
         self.of = np.arange(n)
 
     def join(self, i: int, others: np.ndarray) -> None:
-        old = np.unique(np.append(self.of[others], self.of[i]))
-        if len(old) > 1:
-            self.of[np.isin(self.of, old[1:])] = old[0]
+        old = np.append(self.of[others], self.of[i])
+        now = np.arange(len(self.of))  # what each root becomes
+        now[old] = old.min()
+        self.of = now[self.of]
 
     def least(self, ids: np.ndarray) -> np.ndarray:
         out = np.full(len(ids), np.iinfo(np.int64).max)
@@ -180,8 +183,9 @@ def tied(ids: np.ndarray, sizes: np.ndarray, vectors: list[np.ndarray], percent:
     """For each document the least id that pairs reach which the bound of their count vectors allows."""
     tree, roots = CountTree(sizes, vectors), Roots(len(ids))
     for i in range(len(ids)):
-        if (roots.of[i + 1 :] != roots.of[i]).any():  # all that follow are tied to it already
-            roots.join(i, tree.after(i, percent))
+        near = tree.after(i, percent, roots.of != roots.of[i])  # those that aren't tied to it already
+        if len(near):
+            roots.join(i, near)
     out = np.empty(len(ids), np.int64)
     out[tree.order] = roots.least(ids[tree.order])
     return out
@@ -225,11 +229,8 @@ def linked(ids: np.ndarray, sets: list[np.ndarray], percent: int, side: np.ndarr
     side = None if side is None else side[tree.order]
     roots = Roots(len(ids))
     for i in range(len(ids)):
-        if (roots.of[i + 1 :] == roots.of[i]).all():  # all that follow are linked to it already
-            continue
-        near = tree.after(i, percent)
-        if side is not None:
-            near = near[side[near] != side[i]]
+        wanted = roots.of != roots.of[i]  # those that aren't linked to it already
+        near = tree.after(i, percent, wanted if side is None else wanted & (side != side[i]))
         for at in range(0, len(near), 64):
             part = near[at : at + 64]
             part = part[roots.of[part] != roots.of[i]]
