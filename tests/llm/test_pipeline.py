@@ -1,7 +1,6 @@
 """The pipeline against a brute-force version of each stage on the smallest tables."""
 
 import math
-from bisect import bisect_left, insort
 from collections import defaultdict
 
 from tokenizers import Tokenizer
@@ -10,7 +9,7 @@ import corpus_pipeline as P
 from skeinwork.llm import secrets, toxicity
 from skeinwork.llm.queries import QUERIES, tokenizer_file
 
-from .test_llm import base_of, deduped, roots, shingle_sets
+from .test_llm import base_of, best_fit, deduped, roots, shingle_sets
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -31,16 +30,6 @@ def masked(text, spans):
     return out + text[at:]
 
 
-def best_fit(lengths, room=2048):
-    """How many bins best-fit decreasing takes."""
-    free = []
-    for n in sorted(lengths, reverse=True):
-        i = bisect_left(free, n)
-        left = free.pop(i) if i < len(free) else room
-        insort(free, left - n)
-    return len(free)
-
-
 def test_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     columns, out = docs.columns, {}
@@ -86,7 +75,7 @@ def test_stages(spark, tmp_path):
     for places in bins.values():
         places.sort()
         assert [a for a, _ in places] == [sum(n for _, n in places[:k]) for k in range(len(places))] and sum(n for _, n in places) <= 2048
-    assert len(bins) == best_fit(pieces.values())
+    assert len(bins) == best_fit(pieces.values(), 2048)
     assert [tuple(r)[:5] for r in sorted(P.run(spark, FOLDER).collect())] == [tuple(r)[:5] for r in sorted(last)]
 
 
