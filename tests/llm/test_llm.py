@@ -427,6 +427,22 @@ def test_crowded_digests_are_tied_without_vectors(spark):
     assert {tuple(r) for r in ties.collect()} == {(10 * k + i, 10 * k) for k, n in ((3, 6), (4, 40)) for i in range(1, n)}
 
 
+def test_one_digest_is_kept_for_each_set_of_documents(spark):
+    groups = {1: [5, 6], 2: [6, 5], 3: [5, 7], 4: [5], 5: [5, 6, 7], 6: [7, 6, 5], 7: [8, 9]}
+    rows = spark.createDataFrame([(k, i) for k, ids in groups.items() for i in ids], "key long, doc_id long").repartition(3)
+    assert {tuple(r) for r in jaccard.unlike(rows, Scratch(spark, "test")).collect()} == {(k, i) for k in (1, 3, 5, 7) for i in groups[k]}
+    assert jaccard.unlike(rows.limit(0), Scratch(spark, "test")).count() == 0
+
+
+@pytest.mark.parametrize("edges", [[], [(1, 1)], [(2, 1), (3, 1), (9, 8)], [(2, 1), (3, 2)], [(3, 1), (3, 2)], [(1, 2), (2, 1), (4, 3), (3, 5)]])
+def test_components_of_stars_and_others(spark, edges):
+    got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "test")).collect()}
+    nodes = sorted({x for e in edges for x in e if e[0] != e[1]})
+    found = roots(len(nodes), [(nodes.index(a), nodes.index(b)) for a, b in edges if a != b])
+    least = {r: min(n for n, q in zip(nodes, found, strict=True) if q == r) for r in set(found)}
+    assert got == {n: least[r] for n, r in zip(nodes, found, strict=True)}
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.integers(0, 2**32 - 1), st.sampled_from([60, 80, 90]))
 def test_few_documents_are_tied_as_by_the_tree(seed, percent):
