@@ -9,6 +9,7 @@ from skeinwork.capabilities import STATUS, capabilities
 from skeinwork.errors import NoElement, Unsupported
 from skeinwork.functions import logic as L
 from skeinwork.functions import spatial as G
+from skeinwork.functions.builders import Builders
 from skeinwork.functions.spatial import measures, overlay, relations
 from skeinwork.functions.spatial.shapes import from_wkb, from_wkt, to_wkb, to_wkt
 from skeinwork.operators import dml as X
@@ -222,3 +223,24 @@ def test_overlays():
     assert not measures.is_valid(from_wkt("POLYGON((0 0,2 2,2 0,0 2,0 0))"))
     assert measures.is_simple(from_wkt("LINESTRING(0 0,1 0,1 1,0 0)")) and not measures.is_simple(from_wkt("LINESTRING(0 0,2 2,2 0,0 2)"))
     assert to_wkt(measures.boundary(from_wkt(LINE))) == "MULTIPOINT((-1 2),(5 2))"
+
+
+def test_builders_procedures_and_splits(spark):
+    own = Builders()
+    own.register("twice", lambda x: x * 2)
+    with pytest.raises(Unsupported):
+        own.register("twice", lambda x: x)
+    own.register("twice", lambda x: x * 3, replace=True)
+    assert spark.range(1, 2).select(own("twice", F.col("id"))).first()[0] == 3
+    with pytest.raises(Unsupported):
+        own("thrice", F.col("id"))
+    c = Catalog(spark, FOLDER)
+    named = c.with_procedure("above", lambda k, least: k.scan("customer").filter(F.col("c_acctbal") > least)).with_view("v", lambda k: k.scan("nation"))
+    assert named.call("above", least=1e9).count() == 0
+    with pytest.raises(Unsupported):
+        c.call("above", least=1)
+    with pytest.raises(Unsupported):
+        c.split(c.scan("part"), "part", "orders")
+    nobody = c.scan("customer").filter("c_custkey < 0")
+    assert c.split(nobody, "customer", "orders").count() == 0
+    assert c.split(c.scan("customer"), "customer", "orders").count() == c.scan("orders").filter("o_custkey is not null").count()
