@@ -510,6 +510,26 @@ def test_repeats_of_a_hot_trigger(spark, monkeypatch, most):
     assert got == repeats_of(rows, 60)
 
 
+def test_texts_of_a_hot_trigger_are_not_multiplied(spark, monkeypatch):
+    """The texts of an entry are written twice at most, whatever it shares with the others of its trigger."""
+    from skeinwork.llm import common
+
+    rows, keep = [], common.Scratch.keep
+
+    def counted(self, df):
+        out = keep(self, df)
+        rows.append((out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(common.Scratch, "keep", counted)
+    pool = [[prose(25) for _ in range(3)] for _ in range(4)]
+    docs = [(i, " ".join([prose(30), *(pool[k][i // 3**k % 3] for k in range(4)), prose(30)])) for i in range(81)]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.removed(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), most=3).collect()}
+    assert got == repeats_of(docs, 400)
+    entries = next(n for columns, n in rows if "hot" in columns)
+    assert entries > 81 and sum(n for columns, n in rows if "before" in columns) <= 2 * entries
+
+
 # --- pieces
 
 
