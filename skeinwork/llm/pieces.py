@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding with a merge-type vocabulary.
 
 Encoding keeps an agenda of adjacent symbol pairs, ordered by score and then by place; the best pair is merged until no
-pair of neighbours is in the vocabulary.  What is then no piece falls back to its UTF-8 bytes.  No piece of the
+pair of neighbours is in the vocabulary (a list of the ranks of neighbours for short words, a heap for long ones).  What is then no piece falls back to its UTF-8 bytes.  No piece of the
 vocabularies accepted here has a word mark after another character, so no merge reaches into the next word, and a word
 with the marks before it is encoded once and remembered.  Every word that is new in an Arrow batch is also given to
 the sentencepiece library, in one call for the batch; a difference stops the query.
@@ -27,6 +27,9 @@ from skeinwork.llm.common import text_of
 MARK = "▁"
 #: Words that are remembered in a worker; beyond that only those met again are.
 WORDS_KEPT = 450_000
+#: Symbols up to which the agenda is a list in the order of the places; that of longer words is a heap.
+SHORT = 48
+_NONE = 1 << 32  # more than any rank
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -39,6 +42,7 @@ class MergeVocabulary:
         self.library = SentencePieceProcessor(model_file=path)
         n = self.library.get_piece_size()
         self.pieces = [self.library.id_to_piece(i) for i in range(n)]
+        self.numbers = [str(i) for i in range(n)]
         self.shown = [p.replace(MARK, " ") for p in self.pieces]
         special = [self.library.is_byte(i) or self.library.is_control(i) or self.library.is_unknown(i) for i in range(n)]
         self.bytes = {i: int(self.pieces[i][3:5], 16) for i in range(n) if self.library.is_byte(i)}
@@ -54,12 +58,38 @@ class MergeVocabulary:
             raise ValueError("only vocabularies without marks inside pieces and without normalisation are supported")
         self.known: dict[str, str] = {}  # ids of words, without their first mark, joined by commas
         self.older: dict[str, str] = {}
-        self.decoded: dict[str, str] = {}
+        self.changed: dict[str, str] = {}  # words that decoding does not give back, and what it gives
 
     def merge(self, word: str) -> list[int]:
         """The ids of one word with its marks."""
+        symbols = self.merge_short(word) if len(word) <= SHORT else self.merge_long(word)
+        ids = self.ids
+        out: list[int] = []
+        for s in symbols:
+            if s in ids:
+                out.append(ids[s])
+            elif self.byte_id:
+                out += [self.byte_id[b] for b in s.encode()]
+            else:
+                out.append(self.unknown)
+        return out
+
+    def merge_short(self, word: str) -> list[str]:
+        symbols, get = list(word), self.rank.get
+        agenda = [get(pair, _NONE) for pair in map(add, word, word[1:])]
+        while agenda and (best := min(agenda)) < _NONE:
+            i = agenda.index(best)
+            symbols[i] = joined = symbols[i] + symbols.pop(i + 1)
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = get(joined + symbols[i + 1], _NONE)
+            if i:
+                agenda[i - 1] = get(symbols[i - 1] + joined, _NONE)
+        return symbols
+
+    def merge_long(self, word: str) -> list[str]:
         symbols: list = list(word)
-        rank, ids = self.rank, self.ids
+        rank = self.rank
         agenda = [rank[pair] << 32 | i for i, pair in enumerate(map(add, symbols, symbols[1:])) if pair in rank]
         if agenda:
             heapq.heapify(agenda)
@@ -79,16 +109,7 @@ class MergeVocabulary:
                         heapq.heappush(agenda, rank[pair] << 32 | left)
                 if (near := before[left]) >= 0 and (pair := symbols[near] + joined) in rank:
                     heapq.heappush(agenda, rank[pair] << 32 | near)
-        out: list[int] = []
-        for s in symbols:
-            if s is not None:
-                if s in ids:
-                    out.append(ids[s])
-                elif self.byte_id:
-                    out += [self.byte_id[b] for b in s.encode()]
-                else:
-                    out.append(self.unknown)
-        return out
+        return [s for s in symbols if s is not None]
 
     def words(self, text: str) -> list[str]:
         """The text as words, each without the first of the marks before it; none for an empty text."""
@@ -100,8 +121,10 @@ class MergeVocabulary:
 
     def parts(self, word: str) -> list[str]:
         """The word cut wherever two neighbours stand together in no piece, so that no merge joins them."""
+        if self.pairs.issuperset(map(add, word, word[1:])):
+            return [word]
         cuts = [i for i, pair in enumerate(map(add, word, word[1:]), 1) if pair not in self.pairs]
-        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)] if cuts else [word]
+        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)]
 
     def learn(self, words: set[str]) -> None:
         """Encodes new words, and checks them against the library."""
@@ -111,16 +134,18 @@ class MergeVocabulary:
             self.merged.clear()
         merged = self.merged
         for word, there in zip(new, theirs, strict=True):
-            ids: list[int] = []
+            found = []
             for part in self.parts(MARK + word):
-                if part not in merged:
-                    merged[part] = self.merge(part)
-                ids += merged[part]
+                if (own := merged.get(part)) is None:
+                    merged[part] = own = self.merge(part)
+                found.append(own)
+            ids = found[0] if len(found) == 1 else [i for own in found for i in own]
             if word and ids != there:
                 raise ValueError(f"the library encodes {word!r} as {there}, not {ids}")
-            self.known[word] = ",".join(map(str, ids))
-            shown = self.decode_pieces(ids)
-            self.decoded[word] = word if shown[1:] == word else shown[1:]  # the first mark is a space
+            self.known[word] = ",".join([self.numbers[i] for i in ids])
+            shown = self.decode_pieces(ids)[1:]  # the first mark is a space
+            if shown != word:
+                self.changed[word] = shown
 
     def decode_pieces(self, ids: list[int]) -> str:
         """The text of ids, with marks as spaces; runs of byte pieces are read as UTF-8."""
@@ -168,7 +193,7 @@ def encode_documents(docs: DataFrame, model_path: str, with_ids: bool = False) -
                 texts = [v.words(t) for t in batch.column(1).to_pylist()]
                 if len(v.known) > WORDS_KEPT:
                     v.known, v.older = {}, v.known
-                    v.decoded = {w: v.decoded[w] for w in v.older}
+                    v.changed = {w: x for w, x in v.changed.items() if w in v.older}
                 known = v.known
                 new = set().union(*texts).difference(known)
                 if v.older:
@@ -178,7 +203,8 @@ def encode_documents(docs: DataFrame, model_path: str, with_ids: bool = False) -
                     v.learn(new)
                 rows = []
                 for doc, words in zip(batch.column(0).to_pylist(), texts, strict=True):
-                    ids, decoded = ",".join(map(known.__getitem__, words)), " ".join(map(v.decoded.__getitem__, words))
+                    ids = ",".join(map(known.__getitem__, words))
+                    decoded = " ".join(words if v.changed.keys().isdisjoint(words) else [v.changed.get(w, w) for w in words])
                     n = ids.count(",") + 1 if words else 0
                     row = (doc, n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
                     rows.append((*row, [int(i) for i in ids.split(",") if i], decoded) if with_ids else row)

@@ -541,6 +541,13 @@ def test_pieces_round_trip(text):
     assert ids == v.library.encode(text) and v.decode(ids) == v.library.decode(ids)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from("thenaoß▁$é"), max_size=2 * pieces.SHORT))
+def test_short_and_long_words_merge_alike(word):
+    v = pieces.vocabulary(tokenizer_file("piece_bpe_32k.model"))
+    assert v.merge_short(word) == v.merge_long(word)
+
+
 def test_pieces(docs, none):
     path = tokenizer_file("piece_bpe_32k.model")
     library = pieces.vocabulary(path).library
