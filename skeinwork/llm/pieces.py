@@ -1,10 +1,11 @@
 """SentencePiece encoding and decoding with a merge-type vocabulary.
 
 Encoding keeps an agenda of adjacent symbol pairs, ordered by score and then by place; the best pair is merged until no
-pair of neighbours is in the vocabulary (a list of the ranks of neighbours for short words, a heap for long ones).  What is then no piece falls back to its UTF-8 bytes.  No piece of the
-vocabularies accepted here has a word mark after another character, so no merge reaches into the next word, and a word
-with the marks before it is encoded once and remembered.  Every word that is new in an Arrow batch is also given to
-the sentencepiece library, in one call for the batch; a difference stops the query.
+pair of neighbours is in the vocabulary (a list of the ranks of neighbours for short words, a heap for long ones). What
+is then no piece falls back to its UTF-8 bytes. No piece of the vocabularies accepted here has a word mark after another
+character, so no merge reaches into the next word, and a word with the marks before it is encoded once and remembered.
+Every word that is new in an Arrow batch is also given to the sentencepiece library, in one call for the batch; a
+difference stops the query.
 
 Defined results: a null text is an empty one, and an empty text has no ids; repeated rows are encoded each; an empty
 table gives an empty result; other columns of the input are ignored.
