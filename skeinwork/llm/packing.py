@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import os
 import re
-import string
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -39,10 +38,14 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 #: Words whose ids are remembered in a worker; beyond that only those met again are.
 WORDS_KEPT = 400_000
+#: Characters of the texts that are split together; a longer text is split alone.
+CHUNK = 1 << 20
 #: Control characters that str.split() takes for white space and the tokenizer does not (and one that depends on its Unicode version).
 _NOT_SPACE = re.compile("[\x1c-\x1f᠎]")
-#: Marks of which a run after letters is a token sequence of its own; an apostrophe may be part of another.
-_MARKS = string.punctuation.replace("'", "")
+_LATIN = [chr(b) for b in range(256)]
+#: Bytes of Latin-1 in lower case, with white space as a space.
+_LOWER = "".join(" " if c in "\t\n\v\f\r\x85\xa0" else c.lower() for c in _LATIN).encode("latin-1")
+_LETTER = np.array([c.isalpha() for c in _LATIN])
 
 
 class CapacityTree:
@@ -156,75 +159,118 @@ class WordIds:
     """Ids of whole texts, looked up by words between white space.
 
     The tokenizer turns every run of white space into one space, drops it when it splits a text, and has no rule that
-    looks across it.  So a text's ids are those of its words, and a word is encoded once.  Of the new words, those that
-    are letters of Latin-1 with at most marks after them are looked up without case and marks; such a run of letters is one
-    token sequence that ends in the only id with a word end, so that many are encoded as one text.
+    looks across it.  So a text's ids are those of its words, and a word is encoded once.  Texts of Latin-1, which no
+    normal form changes, are put into lower case and cut after every run of letters, where a token sequence ends in any
+    case; so a run of letters is one word whatever its case and the marks after it.  Such a run ends in the only id with
+    a word end, so that many are encoded as one text, by the model alone.  The words of other texts are texts as well.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {"": b""}
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.wide: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn_runs(self, runs: list[str]) -> None:
+    def learn_runs(self, runs: list[bytes]) -> None:
         """Encodes runs of lower-case letters as one text."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(runs)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(self.plain.encode_batch_fast([b" ".join(runs).decode("latin-1")], add_special_tokens=False)[0].ids, "<u4")
         after = (np.flatnonzero(self.ends[ids]) + 1) * 4
         whole, begin = ids.tobytes(), 0
         for run, end in zip(runs, after.tolist(), strict=True):
-            self.runs[run] = whole[begin:end]
+            self.known[run] = whole[begin:end]
             begin = end
 
-    def learn(self, words: set[str]) -> None:
-        marks, others, plain = self.marks, [], []
+    def learn(self, words: set[bytes]) -> None:
+        """Puts words into the table; one that begins with a letter holds nothing else."""
+        known, older = self.known, self.older
+        if older:
+            met = [w for w in words if w in older]
+            known.update(zip(met, map(older.__getitem__, met), strict=True))
+            words = words.difference(met)
+        runs, others = [], []
         for word in words:
-            run = word.rstrip(_MARKS)
-            if run.isalpha() and (run.isascii() or max(run) <= "\xff"):
-                mark = word[len(run) :]
-                if mark not in marks:
-                    if len(marks) > WORDS_KEPT:
-                        self.marks = marks = {"": b""}
-                    marks[mark] = self.encode([mark])[0]
-                plain.append((word, run.lower(), marks[mark]))
-            else:
-                others.append(word)
-        if len(self.runs) > WORDS_KEPT:
-            self.runs.clear()
-        if new := list({run for _, run, _ in plain}.difference(self.runs)):
-            self.learn_runs(new)
-        runs, known = self.runs, self.known
-        for word, run, mark in plain:
-            known[word] = runs[run] + mark
+            (runs if _LETTER[word[0]] else others).append(word)
+        if runs:
+            self.learn_runs(runs)
         if others:
-            self.known.update(zip(others, self.encode(others), strict=True))
+            known.update(zip(others, self.encode([w.decode("latin-1") for w in others]), strict=True))
+
+    def latin(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of texts of Latin-1."""
+        whole = b"\n".join(texts)
+        data = np.frombuffer(whole.translate(_LOWER), np.uint8)
+        letter = _LETTER[data]
+        cuts = np.flatnonzero(letter[:-1] & ~letter[1:] & (data[1:] != 32)) + 1
+        whole = np.insert(data, cuts, 32).tobytes()
+        first = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        first = (first + np.searchsorted(cuts, first)).tolist()
+        words, ends = [], [0]
+        for a, b in zip(first, first[1:], strict=False):
+            words += whole[a:b].split()
+            ends.append(len(words))
+        if len(self.known) > WORDS_KEPT:
+            self.known, self.older = {}, self.known
+        known = self.known
+        ids = list(map(known.get, words))
+        if new := [i for i, x in enumerate(ids) if x is None]:
+            self.learn({words[i] for i in new})
+            for i in new:
+                ids[i] = known[words[i]]
+        yield from (b"".join(ids[a:b]) for a, b in zip(ends, ends[1:], strict=False))
+
+    def learn_wide(self, words: set[str]) -> None:
+        narrow, others = [], []
+        for word in words:
+            try:
+                narrow.append((word, word.encode("latin-1")))
+            except UnicodeEncodeError:
+                others.append(word)
+        self.wide.update(zip((w for w, _ in narrow), self.latin([x for _, x in narrow]), strict=True))
+        self.wide.update(zip(others, self.encode(others), strict=True))
+
+    def part(self, texts: list[str]) -> Iterator[bytes]:
+        narrow: list[bytes] = []
+        split: list[list[str] | str | None] = []  # words, a text as it is, or None for one of Latin-1
+        for text in texts:
+            if any(s in text for s in self.specials):
+                split.append(text)
+                continue
+            try:
+                narrow.append(text.encode("latin-1"))
+                split.append(None)
+            except UnicodeEncodeError:
+                split.append(text if _NOT_SPACE.search(text) else text.split())
+        if len(self.wide) > WORDS_KEPT:
+            self.wide.clear()
+        new = set().union(*(x for x in split if isinstance(x, list))).difference(self.wide)
+        if new:
+            self.learn_wide(new)
+        found = self.latin(narrow) if narrow else iter(())
+        for x in split:
+            yield next(found) if x is None else self.encode([x])[0] if isinstance(x, str) else b"".join(map(self.wide.__getitem__, x))
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
-        for at in range(0, len(texts), 256):
-            part = texts[at : at + 256]
-            split = [None if any(s in t for s in self.specials) or not t.isascii() and _NOT_SPACE.search(t) or t.isascii() and any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in part]
-            if len(self.known) > WORDS_KEPT:
-                self.known, self.older = {}, self.known
-            known = self.known
-            new = set().union(*filter(None, split)).difference(known)
-            if self.older:
-                known.update((w, self.older[w]) for w in new.intersection(self.older))
-                new = new.difference(known)
-            if new:
-                self.learn(new)
-            for text, words in zip(part, split, strict=True):
-                yield self.encode([text])[0] if words is None else b"".join(map(known.__getitem__, words))
+        held, size = [], 0
+        for text in texts:
+            if held and size + len(text) > CHUNK:
+                yield from self.part(held)
+                held, size = [], 0
+            held.append(text)
+            size += len(text)
+        if held:
+            yield from self.part(held)
 
 
 _encoders: dict[str, WordIds] = {}
